@@ -24,7 +24,7 @@ def stats_of_counts(counts: DataFrame, value: str = "length", n: str = "n") -> D
     return counts.agg(
         F.coalesce(total, F.lit(0)).cast("bigint").alias("n"),
         F.try_divide(F.sum(F.col(value) * F.col(n)).cast("double"), total).alias("mean_length"),
-        F.percentile(value, 0.5, n).alias("median_length"),
+        F.percentile(value, 0.5, F.col(n)).alias("median_length"),
     )
 
 
@@ -145,7 +145,7 @@ def histogram(rows: DataFrame, value: str, bins: int | str = 10, n: str | None =
 
 def _quartiles(column: Column, n: str | None) -> Column:
     if n:
-        return F.percentile(column, F.array(F.lit(0.25), F.lit(0.75)), n)
+        return F.percentile(column, F.array(F.lit(0.25), F.lit(0.75)), F.col(n))
     return F.percentile_approx(column, [0.25, 0.75], 10000)
 
 
