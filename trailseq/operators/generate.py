@@ -1,12 +1,13 @@
 """Synthetic sequences with known patterns, one per row of a given key table.
 
 Everything is computed from the key, the position and the channel, noise included: a task that runs again
-gives the same rows, and no shuffle is needed.
+gives the same rows, and only the keys are shuffled.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,50 +31,67 @@ def gaussian(key: Column, *parts: Column, seed: int = 0) -> Column:
     return F.sqrt(-2.0 * F.log(uniform(1))) * F.cos(2.0 * math.pi * uniform(2))
 
 
-def _table(keys: DataFrame, key: str, element, dim: int, length: int) -> DataFrame:
-    """``element(position, channel)`` for positions 0.. and channels 1.."""
-    positions = F.sequence(F.lit(0), F.lit(length - 1))
-    channel_numbers = F.sequence(F.lit(1), F.lit(dim))
-    value = F.transform(positions, lambda p: F.transform(channel_numbers, lambda c: element(p, c)))
-    return keys.select(key, value.alias("value"))
+def _spread(keys: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """Keys are tiny and sequences are not: spread the keys before they grow.
+
+    A number given outright is kept by adaptive execution, which would merge partitions by key bytes.
+    """
+    n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keys.select(key).repartition(n, key)
+
+
+def _table(keys: DataFrame, key: str, vector: Callable[[Column], Column], length: int,
+           partitions: int | None) -> DataFrame:
+    """``vector(position)`` for the positions 0 to ``length - 1``."""
+    value = F.transform(F.sequence(F.lit(0), F.lit(length - 1)), vector)
+    return _spread(keys, key, partitions).select(key, value.alias("value"))
 
 
-def _noisy(x: Column, key: str, noise: bool, seed: int, p: Column, c: Column) -> Column:
-    x = x.cast("double")
-    return x + gaussian(F.col(key), p, c, seed=seed) if noise else x
+def _noise(key: str, seed: int, p: Column, c: Column) -> Column:
+    return gaussian(F.col(key), p, c, seed=seed)
+
+
+def _level_vector(level: Column, p: Column, scale: float, key: str, dim: int, noise: bool,
+                  seed: int) -> Column:
+    """``(level + noise) / scale`` in every channel."""
+    level = level.cast("double")
+    if not noise:
+        return F.array_repeat(level / scale, dim)
+    return F.transform(F.sequence(F.lit(1), F.lit(dim)),
+                       lambda c: (level + _noise(key, seed, p, c)) / scale)
 
 
 def alternating(keys: DataFrame, key: str = "seq_no", validation: bool = False, dim: int = DEFAULT_DIM,
-                length: int = INTERNAL_LENGTH, noise: bool = False, scaled: bool = True,
-                seed: int = 0) -> DataFrame:
+                length: int = INTERNAL_LENGTH, noise: bool = False, scaled: bool = True, seed: int = 0,
+                partitions: int | None = None) -> DataFrame:
     """A falling series at odd and a rising one at even positions; validation swaps them."""
     falling_parity = 0 if validation else 1
     scale = float(length if scaled else 1)
 
-    def element(p: Column, c: Column) -> Column:
+    def vector(p: Column) -> Column:
         level = F.when(p % 2 == falling_parity, F.lit(length) - p).otherwise(p)
-        return _noisy(level, key, noise, seed, p, c) / scale
+        return _level_vector(level, p, scale, key, dim, noise, seed)
 
-    return _table(keys, key, element, dim, length)
+    return _table(keys, key, vector, length, partitions)
 
 
 def uninteresting(keys: DataFrame, key: str = "seq_no", validation: bool = False, dim: int = DEFAULT_DIM,
-                  length: int = INTERNAL_LENGTH, noise: bool = False, scaled: bool = True,
-                  seed: int = 0) -> DataFrame:
+                  length: int = INTERNAL_LENGTH, noise: bool = False, scaled: bool = True, seed: int = 0,
+                  partitions: int | None = None) -> DataFrame:
     """A constant filler at odd and a rising series at even positions; validation swaps them."""
     filler_parity = 0 if validation else 1
     scale = float(length if scaled else 1)
 
-    def element(p: Column, c: Column) -> Column:
-        rising = _noisy(p, key, noise, seed, p, c) / scale
-        return F.when(p % 2 == filler_parity, F.lit(FILLER)).otherwise(rising)
+    def vector(p: Column) -> Column:
+        rising = _level_vector(p, p, scale, key, dim, noise, seed)
+        return F.when(p % 2 == filler_parity, F.array_repeat(F.lit(FILLER), dim)).otherwise(rising)
 
-    return _table(keys, key, element, dim, length)
+    return _table(keys, key, vector, length, partitions)
 
 
 def channel_dependent(keys: DataFrame, key: str = "seq_no", validation: bool = False,
                       dim: int = DEFAULT_DIM, length: int = INTERNAL_LENGTH, noise: bool = True,
-                      scaled: bool = False, seed: int = 0) -> DataFrame:
+                      scaled: bool = False, seed: int = 0, partitions: int | None = None) -> DataFrame:
     """A falling series whose scale depends on the channel, against a rising one.
 
     Train: falling at odd positions, divided by 3 on every third channel and by the length elsewhere;
@@ -81,14 +99,18 @@ def channel_dependent(keys: DataFrame, key: str = "seq_no", validation: bool = F
     rising not divided.
     """
     falling_parity, wide_every = (0, 4) if validation else (1, 3)
-    rising_scale = 1.0 if validation else float(length)
     base_scale = float(length if scaled else 1)
+    rising_scale = base_scale * (1.0 if validation else float(length))
+    divisors = F.array(*[F.lit(3.0 if c % wide_every == 0 else float(length)) for c in range(1, dim + 1)])
+
+    def vector(p: Column) -> Column:
+        level = (F.lit(length) - p).cast("double")
+
+        def falling(divisor: Column, i: Column) -> Column:
+            noisy = level + _noise(key, seed, p, i + 1) if noise else level
+            return noisy / base_scale / divisor
 
-    def element(p: Column, c: Column) -> Column:
-        falling = p % 2 == falling_parity
-        level = F.when(falling, F.lit(length) - p).otherwise(p)
-        noisy = _noisy(level, key, noise, seed, p, c) / base_scale
-        falling_scale = F.when(c % wide_every == 0, F.lit(3.0)).otherwise(F.lit(float(length)))
-        return noisy / F.when(falling, falling_scale).otherwise(F.lit(rising_scale))
+        rising = _level_vector(p, p, rising_scale, key, dim, noise, seed)
+        return F.when(p % 2 == falling_parity, F.transform(divisors, falling)).otherwise(rising)
 
-    return _table(keys, key, element, dim, length)
+    return _table(keys, key, vector, length, partitions)

@@ -61,18 +61,23 @@ def _kept_items(histories: DataFrame, condition_side: DataFrame, how: str, min_i
     )
 
 
-def _attach(sequences: DataFrame, lookup: DataFrame, how: str, vec: Column) -> DataFrame:
-    """Vectors for distinct ``items`` lists; the one place where vectors move."""
+def _attach(sequences: DataFrame, lookup: DataFrame, vec: Column) -> DataFrame:
+    """Vectors for distinct ``items`` lists; the one place where vectors move.
+
+    Id lists are tiny next to what they become, so they are spread by their key first; adaptive execution
+    keeps the given number of partitions instead of merging them by the bytes of the ids. The join keeps
+    its left side whole, so only the lookup can be chosen for broadcast: the size of the exploded side is
+    underestimated.
+    """
+    n = int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        sequences.select("items", F.posexplode("items").alias("pos", "item_id"))
-        .join(lookup.select("item_id", "vec"), "item_id", how)
-        .select("items", "pos", "item_id", vec.alias("vec"))
-        .groupBy("items").agg(_in_reading_order("item_id", "vec").alias("rows"))
-        .select(
-            sequence_key("items").alias("seq_id"),
-            "items",
-            F.transform("rows", lambda r: F.struct(r["item_id"], r["vec"])).alias("value"),
-        )
+        sequences.select(sequence_key("items").alias("seq_id"), "items")
+        .repartition(n, "seq_id")
+        .select("seq_id", "items", F.posexplode("items").alias("pos", "item_id"))
+        .join(lookup.select("item_id", "vec"), "item_id", "left")
+        .select("seq_id", "items", "pos", "item_id", vec.alias("vec"))
+        .groupBy("seq_id", "items").agg(_in_reading_order("item_id", "vec").alias("rows"))
+        .select("seq_id", "items", F.transform("rows", lambda r: F.struct(r["item_id"], r["vec"])).alias("value"))
     )
 
 
@@ -88,7 +93,7 @@ def resolve_histories(histories: DataFrame, lookup: DataFrame, min_items: int =
     ``lookup`` holds one row per item.
     """
     known = lookup.where(F.size("vec") > 0)
-    return _attach(_kept_items(histories, known, "left_semi", min_items), known, "inner", F.col("vec"))
+    return _attach(_kept_items(histories, known, "left_semi", min_items), known, F.col("vec"))
 
 
 def resolve_histories_padded(histories: DataFrame, lookup: DataFrame, dim: int = DEFAULT_DIM,
@@ -99,4 +104,4 @@ def resolve_histories_padded(histories: DataFrame, lookup: DataFrame, dim: int =
     """
     empty = lookup.where(F.size("vec") == 0)
     kept = _kept_items(histories, empty, "left_anti", min_items)
-    return _attach(kept, lookup, "left", F.coalesce(F.col("vec"), zero_vector(dim)))
+    return _attach(kept, lookup, F.coalesce(F.col("vec"), zero_vector(dim)))

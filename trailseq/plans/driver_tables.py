@@ -19,8 +19,16 @@ DIM = 64
 PIECE = 24
 
 
+# Given schemas save the schema inference job of every read.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def reading_events(spark: SparkSession, sf_dir: str) -> DataFrame:
