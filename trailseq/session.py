@@ -31,14 +31,14 @@ def scratch_root(spark: SparkSession) -> str:
 
     Only a local session may go without the setting; it gets a temporary folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="trailseq-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="trailseq-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
