@@ -13,28 +13,26 @@ HISTORY_CODE = 145
 MIN_HISTORY = 3
 
 
-def map_value(values: Column, key: int, default: int = 0) -> Column:
-    return F.coalesce(values[key].cast("bigint"), F.lit(default).cast("bigint"))
+def map_value(map_path: str, key: int, default: int = 0) -> str:
+    return f"coalesce(cast({map_path}[{key}] AS bigint), {default}L)"
 
 
-def user_fingerprint(environment: Column) -> Column:
+def user_fingerprint(environment: str = "environment") -> Column:
     """Ten attributes in fixed order, 0 where missing. Readers who share all ten fall together."""
-    ids = [map_value(environment["ids"], code) for code in ID_CODES]
-    integers = [map_value(environment["integers"], code) for code in INTEGER_CODES]
-    return F.array(*ids, *integers)
+    ids = [map_value(f"{environment}.ids", code) for code in ID_CODES]
+    integers = [map_value(f"{environment}.integers", code) for code in INTEGER_CODES]
+    return F.expr(f"array({', '.join(ids + integers)})")
 
 
-def possible_history(environment: Column) -> Column:
+def possible_history(environment: str = "environment") -> Column:
     """The item list of the context, NULL when the context has none."""
-    return environment["lists"][HISTORY_CODE].cast("array<bigint>")
+    return F.expr(f"cast({environment}.lists[{HISTORY_CODE}] AS array<bigint>)")
 
 
 def collect_histories(contexts: DataFrame, min_items: int = MIN_HISTORY) -> DataFrame:
     """Contexts with a history of at least ``min_items`` items as ``user``, ``history``."""
-    environment = F.col("environment")
     return (
-        contexts.select(user_fingerprint(environment).alias("user"),
-                        possible_history(environment).alias("history"))
+        contexts.select(user_fingerprint().alias("user"), possible_history().alias("history"))
         .where(F.size("history") >= min_items)
     )
 

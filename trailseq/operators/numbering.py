@@ -8,22 +8,23 @@ from pyspark.sql import functions as F
 from trailseq.session import written_table
 
 
-def row_numbers(rows: DataFrame, *keys: str, name: str = "row_no") -> DataFrame:
+def row_numbers(rows: DataFrame, *keys: str, name: str = "row_no", carry: tuple[str, ...] = ()) -> DataFrame:
     """Number the rows 1..N in the order of ``keys``, which together must be unique.
 
-    Only the keys move. They are range-partitioned (a composite key splits inside one hot value), sorted
-    per partition and written once, which fixes each row's place. The count of rows before a partition
-    comes from a table of one row per partition.
+    Only the keys move, with the (narrow) columns to ``carry``. They are written first, because range
+    partitioning reads its input twice, and then range-partitioned (a composite key splits inside one hot
+    value), sorted per partition and written again, which fixes each row's place. The count of rows before
+    a partition comes from a table of one row per partition.
     """
+    narrow = written_table(rows.select(*keys, *carry), "row-keys")
     placed = written_table(
-        rows.select(*keys)
-        .repartitionByRange(*keys)
+        narrow.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("slot", F.monotonically_increasing_id()),
         "row-numbers",
     )
     placed = placed.select(
-        *keys,
+        *keys, *carry,
         F.shiftright("slot", 33).alias("part"),
         F.col("slot").bitwiseAND(F.lit((1 << 33) - 1)).alias("offset"),
     )
@@ -31,21 +32,21 @@ def row_numbers(rows: DataFrame, *keys: str, name: str = "row_no") -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     return placed.join(F.broadcast(starts), "part").select(
-        *keys, (F.col("start") + F.col("offset") + 1).alias(name))
+        *keys, *carry, (F.col("start") + F.col("offset") + 1).alias(name))
 
 
 def batch_numbers(rows: DataFrame, *keys: str, batch_size: int = 256,
-                  drop_last_row: bool = True) -> DataFrame:
+                  drop_last_row: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Consecutive blocks of ``batch_size`` rows, numbered from 0.
 
     ``drop_last_row`` leaves the last row of the whole table out, as the original batching does.
     """
-    numbered = row_numbers(rows, *keys)
+    numbered = row_numbers(rows, *keys, carry=carry)
     if drop_last_row:
         numbered = numbered.where(
             F.col("row_no") < numbered.agg(F.max("row_no").alias("n")).scalar())
     return numbered.select(
-        *keys, F.floor((F.col("row_no") - 1) / batch_size).cast("bigint").alias("batch_no"))
+        *keys, *carry, F.floor((F.col("row_no") - 1) / batch_size).cast("bigint").alias("batch_no"))
 
 
 def prefix_split(rows: DataFrame, *keys: str, fraction: float = 0.8) -> DataFrame:

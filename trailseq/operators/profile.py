@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trailseq.functions import sequences as S
 from trailseq.functions.vectors import add_up, min_max_scale
+from trailseq.session import written_table
 
 
 def length_counts(histories: DataFrame, history: Column | str = "history") -> DataFrame:
@@ -37,10 +38,7 @@ def history_copies(histories: DataFrame) -> DataFrame:
     return histories.groupBy("history").agg(F.count("*").alias("copies"))
 
 
-def unique_history_ratio(histories: DataFrame) -> DataFrame:
-    """How many histories are distinct: one grouping gives both counts."""
-    counts = history_copies(histories).agg(
-        F.count("*").alias("n_unique"), F.coalesce(F.sum("copies"), F.lit(0)).alias("n_all"))
+def ratio_of_counts(counts: DataFrame) -> DataFrame:
     return counts.select(
         "n_unique", "n_all",
         F.try_divide(F.col("n_unique").cast("double"), F.col("n_all")).alias("ratio"),
@@ -48,6 +46,12 @@ def unique_history_ratio(histories: DataFrame) -> DataFrame:
     )
 
 
+def unique_history_ratio(histories: DataFrame) -> DataFrame:
+    """How many histories are distinct: one grouping gives both counts."""
+    return ratio_of_counts(history_copies(histories).agg(
+        F.count("*").alias("n_unique"), F.coalesce(F.sum("copies"), F.lit(0)).alias("n_all")))
+
+
 def unique_history_stats(histories: DataFrame) -> DataFrame:
     return stats_of_counts(length_counts(histories.select("history").distinct()))
 
@@ -158,7 +162,8 @@ def kernel_density(rows: DataFrame, value: str, grid_size: int = 200, n: str | N
     grid point. For continuous columns pass the bins of ``histogram`` (middle and count).
     """
     rows, weight = _counted(rows, value, n)
-    counted = rows.groupBy(F.col(value).cast("double").alias("x")).agg(F.sum(weight).alias("w"))
+    counted = written_table(
+        rows.groupBy(F.col(value).cast("double").alias("x")).agg(F.sum(weight).alias("w")), "counted")
     total, x, w = F.sum("w").cast("double"), F.col("x"), F.col("w")
     mean = F.sum(x * w) / total
     moments = counted.agg(

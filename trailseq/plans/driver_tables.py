@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailseq.operators import collect, prepare, resolve
@@ -32,10 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reading_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    return table(spark, sf_dir, "events").select(
-        "user_id", "ts", "event_id", "event_type", "value", k.alias("k"),
-        (k * 6 + F.length("event_type") - 4).alias("item_id"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "user_id", "ts", "event_id", "event_type", "value",
+        "cast(get_json_object(props, '$.k') AS bigint) AS k",
+        "cast(get_json_object(props, '$.k') AS bigint) * 6 + length(event_type) - 4 AS item_id")
 
 
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,56 +45,43 @@ def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     comes from one row per reader and day.
     """
     events = reading_events(spark, sf_dir).withColumn("day", F.to_date("ts"))
-    days = events.groupBy("user_id", "day").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    starts = days.select("user_id", "day", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    in_day = Window.partitionBy("user_id", "day").orderBy("ts", "event_id")
-    ranked = events.withColumn("rank", F.row_number().over(in_day) - 1)
-    return ranked.join(starts, ["user_id", "day"]).withColumn("rank", F.col("rank") + F.col("start")).drop(
-        "start", "day")
+    starts = events.groupBy("user_id", "day").count().selectExpr(
+        "user_id", "day",
+        "coalesce(sum(count) OVER (PARTITION BY user_id ORDER BY day"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start")
+    ranked = events.selectExpr(
+        "*", "row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) - 1 AS day_rank")
+    return ranked.join(starts, ["user_id", "day"]).selectExpr(
+        "user_id", "event_type", "value", "k", "item_id", "start + day_rank AS rank")
 
 
 def reader_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per reader and piece: the history and the attributes of its events."""
-    events = numbered_events(spark, sf_dir).withColumn(
-        "piece", F.floor(F.col("rank") / PIECE).cast("bigint"))
-
-    def count_of(event_type: str) -> Column:
-        return F.count(F.when(F.col("event_type") == event_type, 1)).alias(f"n_{event_type}")
-
-    return (
-        events.groupBy("user_id", "piece")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("rank", "item_id"))).alias("rows"),
-            F.sort_array(F.collect_set("event_type")).alias("types"),
-            *[count_of(t) for t in ("click", "error", "purchase", "signup", "view")],
-            F.min("k").alias("min_k"), F.max("k").alias("max_k"),
-            F.floor(F.max("value")).cast("int").alias("top_value"),
-        )
-        .select("*", F.col("rows.item_id").alias("history")).drop("rows")
+    events = numbered_events(spark, sf_dir).withColumn("piece", F.expr(f"rank div {PIECE}"))
+    counts = [F.expr(f"count_if(event_type = '{t}') AS n_{t}")
+              for t in ("click", "error", "purchase", "signup", "view")]
+    return events.groupBy("user_id", "piece").agg(
+        F.expr("sort_array(collect_list(struct(rank, item_id))).item_id AS history"),
+        F.expr("sort_array(collect_set(event_type)) AS types"),
+        *counts,
+        F.expr("min(k) AS min_k"), F.expr("max(k) AS max_k"),
+        F.expr("cast(floor(max(value)) AS int) AS top_value"),
     )
 
 
 def event_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id``, ``piece``, ``event_type`` and the ``environment`` struct."""
-    pieces = reader_pieces(spark, sf_dir)
     attributes = {4: "n_click", 5: "n_error", 6: "n_purchase", 7: "n_signup", 15: "n_view",
                   17: "min_k", 47: "max_k", 82: "user_id"}
-    ids = F.map_filter(
-        F.create_map(*[c for code, name in attributes.items() for c in (F.lit(code), F.col(name))]),
-        lambda _, v: v > 0)
-    integers = F.map_filter(
-        F.create_map(F.lit(22), F.when(F.col("n_purchase") > 0, F.col("top_value")),
-                     F.lit(141), F.when(F.col("n_signup") > 0, F.lit(1))),
-        lambda _, v: v.isNotNull())
-    lists = F.map_filter(
-        F.create_map(F.lit(collect.HISTORY_CODE),
-                     F.when(F.col("n_view") > 0, F.col("history").cast("array<int>"))),
-        lambda _, v: v.isNotNull())
-    environment = F.named_struct(
-        F.lit("ids"), ids, F.lit("integers"), integers, F.lit("lists"), lists)
-    return pieces.select("user_id", "piece", F.explode("types").alias("event_type"),
-                         environment.alias("environment"))
+    ids = ", ".join(f"{code}, {name}" for code, name in attributes.items())
+    return reader_pieces(spark, sf_dir).selectExpr(
+        "user_id", "piece", "explode(types) AS event_type",
+        f"""named_struct(
+            'ids', map_filter(map({ids}), (k, v) -> v > 0),
+            'integers', map_filter(map(22, if(n_purchase > 0, top_value, NULL), 141, if(n_signup > 0, 1, NULL)),
+                                   (k, v) -> v IS NOT NULL),
+            'lists', if(n_view > 0, map({collect.HISTORY_CODE}, cast(history AS array<int>)), map())
+        ) AS environment""")
 
 
 def collected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,13 +89,12 @@ def collected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vec = F.col("embedding").cast("array<double>")
-    vec = F.when(F.col("label") == 8, F.array_repeat(F.lit(0.0), DIM)).otherwise(vec)
-    label = F.struct(F.lit("label"), F.col("label").cast("string"))
-    full = F.map_from_entries(F.array(F.struct(F.lit(resolve.FEATURE), F.to_json(vec)), label))
-    return table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("item_id"),
-        F.when(F.col("label") == 9, F.map_from_entries(F.array(label))).otherwise(full).alias("features"))
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id AS item_id",
+        f"""if(label = 9, map('label', cast(label AS string)), map(
+            'label', cast(label AS string),
+            '{resolve.FEATURE}', to_json(if(label = 8, array_repeat(0D, {DIM}), cast(embedding AS array<double>)))
+        )) AS features""")
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trailseq.functions.vectors import DEFAULT_DIM
 from trailseq.operators import collect, evaluate, nearest, numbering, prepare, profile, resolve
@@ -36,35 +37,48 @@ def split_job(spark: SparkSession, resolved_path: str, out_path: str, dim: int =
 
 
 def profile_histories(histories: DataFrame) -> dict[str, DataFrame]:
-    """The tables of the history part of the profile; each is lazy."""
-    counts = profile.length_counts(histories)
-    unique = profile.length_counts(histories.select("history").distinct())
+    """The tables of the history part of the profile, from two small stored count tables."""
+    copies = profile.history_copies(histories)
+    counts = written_table(
+        copies.groupBy(F.size("history").cast("bigint").alias("length"))
+        .agg(F.sum("copies").alias("n"), F.count("*").alias("n_unique")), "lengths")
+    unique = counts.select("length", F.col("n_unique").alias("n"))
+    totals = counts.agg(F.coalesce(F.sum("n_unique"), F.lit(0)).alias("n_unique"),
+                        F.coalesce(F.sum("n"), F.lit(0)).alias("n_all"))
     return {
         "length_stats": profile.stats_of_counts(counts),
         "length_histogram": profile.histogram(counts, "length", "auto", n="n"),
         "length_density": profile.kernel_density(counts, "length", n="n"),
-        "unique_ratio": profile.unique_history_ratio(histories),
+        "unique_ratio": profile.ratio_of_counts(totals),
         "unique_stats": profile.stats_of_counts(unique),
         "unique_histogram": profile.histogram(unique, "length", "auto", n="n"),
         "unique_density": profile.kernel_density(unique, "length", n="n"),
     }
 
 
-def profile_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM, bins: int | str = 100) -> dict[str, DataFrame]:
-    """The tables of the vector part of the profile, over a table with a ``value`` column."""
-    counts = profile.unpadded_length_counts(sequences, dim)
+def profile_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM,
+                      bins: int | str = 100) -> dict[str, DataFrame]:
+    """The tables of the vector part of the profile, over a stored table with a ``value`` column."""
+    counts = written_table(profile.unpadded_length_counts(sequences, dim), "unpadded")
     vectors = profile.real_vectors(sequences, dim)
     scaled = profile.normalized_vectors(vectors)
-    return {
+    sums = written_table(profile.vector_sums(vectors), "sums")
+    scaled_sums = written_table(profile.vector_sums(scaled), "scaled-sums")
+    tables = {
         "unpadded_stats": profile.stats_of_counts(counts),
         "unpadded_histogram": profile.histogram(counts, "length", "auto", n="n"),
         "unpadded_density": profile.kernel_density(counts, "length", n="n"),
         "channel_range": profile.channel_range(vectors),
-        "channel_histogram": profile.histogram(profile.channels(vectors), "channel", bins),
-        "sum_histogram": profile.histogram(profile.vector_sums(vectors), "channel_sum", bins),
-        "normalized_histogram": profile.histogram(profile.channels(scaled), "channel", bins),
-        "normalized_sum_histogram": profile.histogram(profile.vector_sums(scaled), "channel_sum", bins),
     }
+    for name, rows, value in (("channel", profile.channels(vectors), "channel"),
+                              ("sum", sums, "channel_sum"),
+                              ("normalized", profile.channels(scaled), "channel"),
+                              ("normalized_sum", scaled_sums, "channel_sum")):
+        binned = written_table(profile.histogram(rows, value, bins), f"{name}-bins")
+        tables[f"{name}_histogram"] = binned
+        middles = binned.select(((F.col("bin_low") + F.col("bin_high")) / 2).alias("middle"), "n")
+        tables[f"{name}_density"] = profile.kernel_density(middles, "middle", n="n")
+    return tables
 
 
 def scored_windows(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None) -> DataFrame:
@@ -81,12 +95,13 @@ def loss_by_batch(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None, b
                   kinds: tuple[str, ...] = ("weighted_rmse",), drop_last_row: bool = True) -> DataFrame:
     """Losses per batch of sequences in ``seq_id`` order.
 
-    Only the small error sums are joined with the batch numbers; vectors stay where they are.
+    Each sequence is reduced to a few error sums where it is; only those are numbered and grouped.
     """
-    stored = written_table(prepared, "prepared")
-    batches = numbering.batch_numbers(stored, "seq_id", batch_size=batch_size, drop_last_row=drop_last_row)
-    errors = evaluate.sequence_errors(scored_windows(stored, dim, predictor), "seq_id", dim=dim)
-    return evaluate.batch_losses(errors.join(batches, "seq_id"), kinds)
+    errors = evaluate.sequence_errors(scored_windows(prepared, dim, predictor), "seq_id", dim=dim)
+    sums = tuple(c for c in errors.columns if c != "seq_id")
+    batches = numbering.batch_numbers(
+        errors, "seq_id", batch_size=batch_size, drop_last_row=drop_last_row, carry=sums)
+    return evaluate.batch_losses(batches, kinds)
 
 
 def decoded_items(prepared: DataFrame, lookup: DataFrame, dim: int = DEFAULT_DIM, predictor=None,

@@ -88,7 +88,7 @@ def latest_partition(spark: SparkSession, sf: str) -> DataFrame:
 def user_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return tables.event_contexts(spark, sf).select(
         "user_id", "piece", "event_type",
-        _text(collect.user_fingerprint(F.col("environment"))).alias("fingerprint"))
+        _text(collect.user_fingerprint()).alias("fingerprint"))
 
 
 def collect_histories(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,6 +225,11 @@ def _real_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return profile.real_vectors(tables.prepared(spark, sf), DIM, "seq_id")
 
 
+def _stored_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """For profiles that read the vectors twice, first for their range."""
+    return written_table(_real_vectors(spark, sf), "vectors")
+
+
 def channel_range(spark: SparkSession, sf: str) -> DataFrame:
     return profile.channel_range(_real_vectors(spark, sf))
 
@@ -235,7 +240,7 @@ def vector_sums(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalized_sums(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.normalized_sums(_real_vectors(spark, sf)).withColumn(
+    return profile.normalized_sums(_stored_vectors(spark, sf)).withColumn(
         "channel_sum", F.round("channel_sum", 6))
 
 
@@ -244,26 +249,27 @@ def _bins(df: DataFrame) -> DataFrame:
 
 
 def length_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    counts = profile.length_counts(tables.collected(spark, sf))
+    counts = written_table(profile.length_counts(tables.collected(spark, sf)), "lengths")
     return _bins(profile.histogram(counts, "length", 10, n="n"))
 
 
 def length_histogram_auto(spark: SparkSession, sf: str) -> DataFrame:
-    counts = profile.length_counts(tables.collected(spark, sf))
+    counts = written_table(profile.length_counts(tables.collected(spark, sf)), "lengths")
     return _bins(profile.histogram(counts, "length", "auto", n="n"))
 
 
 def channel_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return _bins(profile.histogram(profile.channels(_real_vectors(spark, sf)), "channel", 20))
+    return _bins(profile.histogram(profile.channels(_stored_vectors(spark, sf)), "channel", 20))
 
 
 def normalized_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = profile.normalized_vectors(_real_vectors(spark, sf))
+    scaled = profile.normalized_vectors(_stored_vectors(spark, sf))
     return _bins(profile.histogram(profile.channels(scaled), "channel", 20))
 
 
 def sum_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return _bins(profile.histogram(profile.vector_sums(_real_vectors(spark, sf)), "channel_sum", 20))
+    sums = written_table(profile.vector_sums(_real_vectors(spark, sf)), "sums")
+    return _bins(profile.histogram(sums, "channel_sum", 20))
 
 
 def length_kde(spark: SparkSession, sf: str) -> DataFrame:

@@ -20,7 +20,9 @@ def build_session(app_name: str = "trailseq", master: str | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        # small local tables: let adaptive execution use all cores instead of merging to 1 MB partitions
+        builder = (builder.master(master).config("spark.ui.enabled", "false")
+                   .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
