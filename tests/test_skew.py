@@ -1,0 +1,35 @@
+"""Queries on tables where one reader holds a third of all events and one item a third of all reads."""
+
+import pytest
+
+import __spark_entry__ as spark_entry
+import check
+
+
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("skewed"))
+    source = check.connect(spark_entry.ENTRY_TABLES)
+    for name in check.TABLES:
+        body = f"SELECT * FROM {name}"
+        if name == "events":
+            body = """SELECT event_id, CASE WHEN event_id % 7 = 0 THEN TIMESTAMP '2024-01-05 10:00:00' ELSE ts END AS ts,
+                             CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id, event_type, value,
+                             CASE WHEN event_id % 3 = 1 THEN '{"k": 7}' ELSE props END AS props FROM events"""
+        source.execute(f"COPY ({body}) TO '{root}/{name}.parquet' (FORMAT parquet)")
+    return root
+
+
+@pytest.mark.parametrize("name", [
+    "collect_histories", "last_history_per_user", "distinct_histories", "resolve_histories", "prepare_sequences",
+    "exact_item", "decode_accuracy", "sequence_loss", "history_length_stats",
+])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_skewed_tables_match_sql(spark, skewed, name, broadcast):
+    if not broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        status, n, _, _ = check.compare(spark, check.connect(skewed), name, skewed)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert status == "ok" and n > 0

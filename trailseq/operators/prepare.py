@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailseq.functions import sequences as S
@@ -59,8 +59,6 @@ def sequence_long(prepared: DataFrame, key: str = "seq_id", length: int = S.INTE
 
 def shifted_long(long: DataFrame, key: str = "seq_id") -> DataFrame:
     """Each position with the vector that follows it; a window per sequence, at most its length."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy(key).orderBy("pos")
     return long.withColumn("next_vec", F.lead("vec").over(order)).where(F.col("next_vec").isNotNull())
 

@@ -41,18 +41,21 @@ def reading_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their rank per reader, without sorting one reader's events in one task.
 
-    Ranks are counted inside a reader's day and shifted by the number of events on earlier days, which
-    comes from one row per reader and day.
+    Ranks are counted inside a reader's minute and shifted by the number of events in earlier minutes,
+    which comes from one narrow row per reader and minute. A reader with a third of all events is spread
+    over all minutes of the period.
     """
-    events = reading_events(spark, sf_dir).withColumn("day", F.to_date("ts"))
-    starts = events.groupBy("user_id", "day").count().selectExpr(
-        "user_id", "day",
-        "coalesce(sum(count) OVER (PARTITION BY user_id ORDER BY day"
+    events = reading_events(spark, sf_dir).withColumn(
+        "slot", F.expr("datediff(ts, date'1970-01-01') * 1440L + hour(ts) * 60 + minute(ts)"))
+    starts = events.groupBy("user_id", "slot").count().selectExpr(
+        "user_id AS reader", "slot AS at",
+        "coalesce(sum(count) OVER (PARTITION BY user_id ORDER BY slot"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start")
     ranked = events.selectExpr(
-        "*", "row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) - 1 AS day_rank")
-    return ranked.join(starts, ["user_id", "day"]).selectExpr(
-        "user_id", "event_type", "value", "k", "item_id", "start + day_rank AS rank")
+        "*", "row_number() OVER (PARTITION BY user_id, slot ORDER BY ts, event_id) - 1 AS slot_rank")
+    same = F.col("user_id").eqNullSafe(F.col("reader")) & F.col("slot").eqNullSafe(F.col("at"))
+    return ranked.join(starts, same).selectExpr(
+        "user_id", "event_type", "value", "k", "item_id", "start + slot_rank AS rank")
 
 
 def reader_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

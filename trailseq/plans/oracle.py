@@ -226,6 +226,9 @@ ALL: dict[str, str] = {
         SELECT s.seq_id, s.pos - 13 AS pos, {_checksum('s.vec')} AS source, {_checksum('t.vec')} AS target
         FROM prep s JOIN prep t ON t.seq_id = s.seq_id AND t.pos = s.pos + 1
         WHERE s.pos BETWEEN 13 AND 16""", "prep"),
+    "shifted_long": _sql(f"""
+        SELECT a.seq_id, a.pos, {_checksum('a.vec')} AS checksum, {_checksum('b.vec')} AS next_checksum
+        FROM prep a JOIN prep b ON b.seq_id = a.seq_id AND b.pos = a.pos + 1""", "prep"),
     "hash_split": _sql("""
         SELECT seq_id, n_real,
                CASE WHEN left(md5(seq_id), 4) < 'e666' THEN 'train' ELSE 'validation' END AS split
@@ -265,6 +268,9 @@ ALL: dict[str, str] = {
                      CAST(least(floor((x - lo) / ((hi - lo) / bins)), bins - 1) AS BIGINT) AS bin
               FROM lengths CROSS JOIN b)
         GROUP BY bin, lo, w""", "lengths"),
+    "unique_length_histogram": _histogram(
+        "(SELECT len(history) AS x FROM (SELECT DISTINCT history FROM collected))", 10, "collected"),
+    "unpadded_histogram": _histogram("(SELECT count(*) AS x FROM realv GROUP BY seq_id)", 10, "realv"),
     "channel_histogram": _histogram("channels", 20, "channels"),
     "normalized_histogram": _histogram(
         "(SELECT (x - lo) / (hi - lo) AS x FROM channels CROSS JOIN rng)", 20, "channels", "rng"),
@@ -278,6 +284,19 @@ ALL: dict[str, str] = {
         FROM c CROSS JOIN (SELECT g, lo + g * ((hi - lo) / 199::DOUBLE) AS gx, n, h
                            FROM s CROSS JOIN (SELECT unnest(range(200)) AS g)) q
         GROUP BY g, gx, n, h""", "lengths"),
+    "channel_kde": _sql("""
+        , b AS (SELECT x_lo + (bin + 0.5::DOUBLE) * w AS x, n FROM (
+            SELECT lo AS x_lo, (hi - lo) / 100 AS w,
+                   CAST(least(floor((x - lo) / ((hi - lo) / 100)), 99) AS BIGINT) AS bin, count(*) AS n
+            FROM channels CROSS JOIN rng GROUP BY 1, 2, 3)),
+        m AS (SELECT min(x) AS lo, max(x) AS hi, CAST(sum(n) AS DOUBLE) AS n, sum(x * n) / sum(n) AS mean FROM b),
+        s AS (SELECT lo, hi, n, sqrt((SELECT sum(b.n * pow(b.x - m.mean, 2)) FROM b CROSS JOIN m) / (n - 1))
+                     * pow(n, -0.2::DOUBLE) AS h FROM m)
+        SELECT CAST(g AS INTEGER) AS grid_no, round(gx, 6) AS x,
+               round(sum(b.n * exp(-0.5::DOUBLE * pow((gx - b.x) / h, 2))) / (q.n * h * sqrt(2 * pi())), 6) AS density
+        FROM b CROSS JOIN (SELECT g, lo + g * ((hi - lo) / 199::DOUBLE) AS gx, n, h
+                           FROM s CROSS JOIN (SELECT unnest(range(200)) AS g)) q
+        GROUP BY g, gx, q.n, h""", "channels", "rng"),
     "l2_normalize": _sql(f"""
         SELECT seq_id, pos, {_checksum('list_transform(vec, lambda y: y / norm)')} AS checksum
         FROM (SELECT *, greatest(sqrt(list_dot_product(vec, vec)), 1e-12::DOUBLE) AS norm FROM pred)""", "pred"),

@@ -180,6 +180,13 @@ def short_windows(spark: SparkSession, sf: str) -> DataFrame:
         "seq_id", "pos", _checksum("w.source").alias("source"), _checksum("w.target").alias("target"))
 
 
+def shifted_long(spark: SparkSession, sf: str) -> DataFrame:
+    long = prepare.sequence_long(tables.prepared(spark, sf))
+    return prepare.shifted_long(long).select(
+        "seq_id", "pos", _checksum(F.col("vec").cast("array<double>")).alias("checksum"),
+        _checksum(F.col("next_vec").cast("array<double>")).alias("next_checksum"))
+
+
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     ready = tables.prepared(spark, sf).select("seq_id", "n_real", prepare.hash_split("seq_id").alias("split"))
     path = scratch_path(spark, "split")
@@ -258,6 +265,17 @@ def length_histogram_auto(spark: SparkSession, sf: str) -> DataFrame:
     return _bins(profile.histogram(counts, "length", "auto", n="n"))
 
 
+def unique_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    unique = tables.collected(spark, sf).select("history").distinct()
+    counts = written_table(profile.length_counts(unique), "lengths")
+    return _bins(profile.histogram(counts, "length", 10, n="n"))
+
+
+def unpadded_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    counts = written_table(profile.unpadded_length_counts(tables.prepared(spark, sf), DIM), "lengths")
+    return _bins(profile.histogram(counts, "length", 10, n="n"))
+
+
 def channel_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return _bins(profile.histogram(profile.channels(_stored_vectors(spark, sf)), "channel", 20))
 
@@ -278,6 +296,14 @@ def length_kde(spark: SparkSession, sf: str) -> DataFrame:
         "grid_no", F.round("x", 6).alias("x"), F.round("density", 8).alias("density"))
 
 
+def channel_kde(spark: SparkSession, sf: str) -> DataFrame:
+    """Density of all channels from 100 bins."""
+    binned = profile.histogram(profile.channels(_stored_vectors(spark, sf)), "channel", 100)
+    middles = binned.select(((F.col("bin_low") + F.col("bin_high")) / 2).alias("middle"), "n")
+    return profile.kernel_density(middles, "middle", n="n").select(
+        "grid_no", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
+
+
 # --- functions -----------------------------------------------------------------------------------------
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -386,11 +412,12 @@ ALL: dict[str, Query] = {
         stream_collect, json_roundtrip, history_files, latest_partition,
         feature_decode, distinct_items, lookup_left, lookup_table, resolve_histories,
         resolve_histories_padded,
-        prepare_sequences, padding_mask, sequence_long, shifted_windows, short_windows, hash_split,
+        prepare_sequences, padding_mask, sequence_long, shifted_windows, short_windows, shifted_long, hash_split,
         prefix_split, split_sizes, batch_numbers,
         history_length_stats, unique_history_ratio, unique_history_stats, unpadded_lengths, channel_range,
-        vector_sums, normalized_sums, length_histogram, length_histogram_auto, channel_histogram,
-        normalized_histogram, sum_histogram, length_kde,
+        vector_sums, normalized_sums, length_histogram, length_histogram_auto, unique_length_histogram,
+        unpadded_histogram, channel_histogram,
+        normalized_histogram, sum_histogram, length_kde, channel_kde,
         l2_normalize, hard_shrink, positional_features, first_channels,
         mean_prediction, score_sequences, sequence_loss, sequence_loss_variants, nearest_item, exact_item,
         gen_alternating, gen_uninteresting, gen_embedding,
