@@ -1,10 +1,10 @@
 """Replace item ids by vectors, keeping reading order.
 
-Two facts shape the plans here. Ids are small and vectors are large, so everything that can be decided on
-ids (which items resolve, which sequences are equal) is decided before a vector is attached. And a history
-is unique once de-duplicated, so the de-duplication already partitions the rows by the key that puts the
-exploded items back together: with a lookup below Spark's broadcast limit no further shuffle follows. A
-larger lookup goes through a shuffle join, where adaptive execution splits the partitions of hot items.
+Ids are small and vectors are large, so everything that can be decided on ids (which items resolve, which
+sequences are equal) is decided before a vector is attached. Id lists are then spread by a content key; the
+exploded items carry only that key and their position, and go back together by the same key. With a lookup
+below Spark's broadcast limit the vectors are never shuffled; with a larger one they are shuffled once, and
+adaptive execution splits the partitions of hot items in that join.
 """
 
 from __future__ import annotations
@@ -48,13 +48,31 @@ def _in_reading_order(*fields: str) -> Column:
     return F.sort_array(F.collect_list(F.struct("pos", *fields)))
 
 
+def sequence_key(items: Column | str) -> Column:
+    """A stable name of an id list, usable for regrouping, ordering and splitting."""
+    return F.sha2(F.to_json(items), 256)
+
+
+def _spread_items(lists: DataFrame, name: str) -> DataFrame:
+    """One row per item of distinct id lists: ``key``, ``pos``, ``item_id``, partitioned by ``key``.
+
+    Id lists are tiny next to what they become, so they are spread with a given number of partitions,
+    which adaptive execution keeps instead of merging them by the bytes of the ids.
+    """
+    n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        lists.select(sequence_key(name).alias("key"), name)
+        .repartition(n, "key")
+        .select("key", F.posexplode(name).alias("pos", "item_id"))
+    )
+
+
 def _kept_items(histories: DataFrame, condition_side: DataFrame, how: str, min_items: int) -> DataFrame:
     """Distinct id lists after the items that do not resolve are gone: ids only, no vectors."""
-    unique = histories.select("history").distinct()
-    kept = unique.select("history", F.posexplode("history").alias("pos", "item_id")).join(
-        condition_side.select("item_id"), "item_id", how)
+    items = _spread_items(histories.select("history").distinct(), "history")
     return (
-        kept.groupBy("history").agg(_in_reading_order("item_id").alias("kept"))
+        items.join(condition_side.select("item_id"), "item_id", how)
+        .groupBy("key").agg(_in_reading_order("item_id").alias("kept"))
         .select(F.col("kept.item_id").alias("items"))
         .where(F.size("items") >= min_items)
         .distinct()
@@ -64,28 +82,19 @@ def _kept_items(histories: DataFrame, condition_side: DataFrame, how: str, min_i
 def _attach(sequences: DataFrame, lookup: DataFrame, vec: Column) -> DataFrame:
     """Vectors for distinct ``items`` lists; the one place where vectors move.
 
-    Id lists are tiny next to what they become, so they are spread by their key first; adaptive execution
-    keeps the given number of partitions instead of merging them by the bytes of the ids. The join keeps
-    its left side whole, so only the lookup can be chosen for broadcast: the size of the exploded side is
-    underestimated.
+    The join keeps its left side whole, so only the lookup can be chosen for broadcast: the size of the
+    exploded side is underestimated.
     """
-    n = int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        sequences.select(sequence_key("items").alias("seq_id"), "items")
-        .repartition(n, "seq_id")
-        .select("seq_id", "items", F.posexplode("items").alias("pos", "item_id"))
+        _spread_items(sequences, "items")
         .join(lookup.select("item_id", "vec"), "item_id", "left")
-        .select("seq_id", "items", "pos", "item_id", vec.alias("vec"))
-        .groupBy("seq_id", "items").agg(_in_reading_order("item_id", "vec").alias("rows"))
-        .select("seq_id", "items", F.transform("rows", lambda r: F.struct(r["item_id"], r["vec"])).alias("value"))
+        .select("key", "pos", "item_id", vec.alias("vec"))
+        .groupBy("key").agg(_in_reading_order("item_id", "vec").alias("rows"))
+        .select(F.col("key").alias("seq_id"), F.col("rows.item_id").alias("items"),
+                F.arrays_zip(F.col("rows.item_id").alias("item_id"), F.col("rows.vec").alias("vec")).alias("value"))
     )
 
 
-def sequence_key(items: Column | str) -> Column:
-    """A stable name of an id list, usable for ordering and for splitting."""
-    return F.md5(F.array_join(F.col(items) if isinstance(items, str) else items, ","))
-
-
 def resolve_histories(histories: DataFrame, lookup: DataFrame, min_items: int = MIN_RESOLVED) -> DataFrame:
     """Distinct resolved sequences: ``seq_id``, ``items``, ``value`` (array of ``item_id``, ``vec``).
 

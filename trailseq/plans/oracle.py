@@ -49,7 +49,7 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
             SELECT list(item_id ORDER BY pos) AS items FROM steps JOIN known USING (item_id) GROUP BY history)
         WHERE len(items) >= 3""", ("steps", "known")),
     "res": ("""
-        SELECT md5(array_to_string(items, ',')) AS seq_id, len(items) AS n, pos - 1 AS pos, item_id, vec, is_pad
+        SELECT sha256(CAST(to_json(items) AS VARCHAR)) AS seq_id, len(items) AS n, pos - 1 AS pos, item_id, vec, is_pad
         FROM (SELECT items, unnest(items) AS item_id, generate_subscripts(items, 1) AS pos FROM kept)
         JOIN known USING (item_id)""", ("kept", "known")),
     "clip": ("SELECT *, pos - greatest(n - 18, 0) AS cpos FROM res WHERE pos >= n - 18", ("res",)),
@@ -205,7 +205,7 @@ ALL: dict[str, str] = {
             SELECT list(item_id ORDER BY pos) AS items FROM steps
             WHERE item_id NOT IN (SELECT item_id FROM vecs WHERE len(vec) = 0) GROUP BY history)
             WHERE len(items) >= 3)
-        SELECT md5(array_to_string(items, ',')) AS seq_id, pos - 1 AS pos, item_id,
+        SELECT sha256(CAST(to_json(items) AS VARCHAR)) AS seq_id, pos - 1 AS pos, item_id,
                {_checksum('vec')} AS checksum
         FROM (SELECT items, unnest(items) AS item_id, generate_subscripts(items, 1) AS pos FROM kept2)
         LEFT JOIN vecs USING (item_id)""", "steps", "vecs"),
