@@ -14,8 +14,9 @@ def prepare_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM, length: int
     """Clip to the last ``length`` vectors, strip trailing padding, pad on the left.
 
     Rows need ``min_real`` vectors that are not padding. Clipping comes first: items older than the clip
-    are not fetched back when trailing padding goes. Padding between items stays. ``value`` is an array of
-    vectors; other columns pass through. Adds ``mask`` (true = padding) and ``n_real``.
+    are not fetched back when trailing padding goes. Padding between items stays. Every row comes out with
+    exactly ``length`` vectors. ``value`` is an array of vectors; other columns pass through. Adds ``mask``
+    (true = padding) and ``n_real``.
     """
     clipped = sequences.withColumn(value, S.take_last(value, length))
     masked = clipped.withColumn("mask", S.padding_mask(value, dim))
@@ -27,7 +28,7 @@ def prepare_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM, length: int
             F.array_repeat(F.lit(True), F.lit(length) - F.col("kept")),
             F.slice("mask", F.lit(1), F.col("kept"))))
     )
-    return stripped.drop("kept").where(F.size(value) == length)
+    return stripped.drop("kept")
 
 
 def vectors_only(resolved: DataFrame) -> DataFrame:
