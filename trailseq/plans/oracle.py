@@ -49,19 +49,19 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
             SELECT list(item_id ORDER BY pos) AS items FROM steps JOIN known USING (item_id) GROUP BY history)
         WHERE len(items) >= 3""", ("steps", "known")),
     "res": ("""
-        SELECT sha256(CAST(to_json(items) AS VARCHAR)) AS seq_id, len(items) AS n, pos - 1 AS pos, item_id, vec, is_pad
+        SELECT sha256(CAST(to_json(items) AS VARCHAR)) AS seq_id, len(items) AS n, CAST(pos - 1 AS INTEGER) AS pos, item_id, vec, is_pad
         FROM (SELECT items, unnest(items) AS item_id, generate_subscripts(items, 1) AS pos FROM kept)
         JOIN known USING (item_id)""", ("kept", "known")),
     "clip": ("SELECT *, pos - greatest(n - 18, 0) AS cpos FROM res WHERE pos >= n - 18", ("res",)),
     "ends": ("""
-        SELECT seq_id, max(cpos) FILTER (WHERE NOT is_pad) AS last, count(*) FILTER (WHERE NOT is_pad) AS n_real
+        SELECT seq_id, max(cpos) FILTER (WHERE NOT is_pad) AS last, CAST(count(*) FILTER (WHERE NOT is_pad) AS INTEGER) AS n_real
         FROM clip GROUP BY seq_id HAVING count(*) FILTER (WHERE NOT is_pad) >= 2""", ("clip",)),
     "prep": (f"""
         SELECT e.seq_id, e.n_real, p.pos, coalesce(c.vec, {_ZEROS}) AS vec, coalesce(c.is_pad, TRUE) AS is_pad
-        FROM ends e CROSS JOIN (SELECT unnest(range(18)) AS pos) p
+        FROM ends e CROSS JOIN (SELECT CAST(unnest(range(18)) AS INTEGER) AS pos) p
         LEFT JOIN clip c ON c.seq_id = e.seq_id AND c.cpos = p.pos - (17 - e.last)""", ("ends", "clip")),
     "realv": ("""
-        SELECT seq_id, row_number() OVER (PARTITION BY seq_id ORDER BY pos) - 1 AS pos, vec
+        SELECT seq_id, CAST(row_number() OVER (PARTITION BY seq_id ORDER BY pos) - 1 AS INTEGER) AS pos, vec
         FROM prep WHERE NOT is_pad""", ("prep",)),
     "channels": ("SELECT unnest(vec) AS x FROM realv", ("realv",)),
     "rng": ("SELECT min(x) AS lo, max(x) AS hi FROM channels", ("channels",)),
@@ -159,7 +159,7 @@ def _generated(level: str) -> str:
         WITH shape AS (
             SELECT part, v, p.pos, c.c
             FROM (SELECT 'train' AS part, FALSE AS v UNION ALL SELECT 'validation', TRUE) s
-            CROSS JOIN (SELECT unnest(range(18)) AS pos) p CROSS JOIN (SELECT unnest(range(1, 65)) AS c) c),
+            CROSS JOIN (SELECT CAST(unnest(range(18)) AS INTEGER) AS pos) p CROSS JOIN (SELECT unnest(range(1, 65)) AS c) c),
         sums AS (SELECT part, pos, round(sum(c * ({level})), 6) AS checksum FROM shape GROUP BY part, pos)
         SELECT c_custkey, part, pos, checksum FROM customer CROSS JOIN sums"""
 
@@ -205,7 +205,7 @@ ALL: dict[str, str] = {
             SELECT list(item_id ORDER BY pos) AS items FROM steps
             WHERE item_id NOT IN (SELECT item_id FROM vecs WHERE len(vec) = 0) GROUP BY history)
             WHERE len(items) >= 3)
-        SELECT sha256(CAST(to_json(items) AS VARCHAR)) AS seq_id, pos - 1 AS pos, item_id,
+        SELECT sha256(CAST(to_json(items) AS VARCHAR)) AS seq_id, CAST(pos - 1 AS INTEGER) AS pos, item_id,
                {_checksum('vec')} AS checksum
         FROM (SELECT items, unnest(items) AS item_id, generate_subscripts(items, 1) AS pos FROM kept2)
         LEFT JOIN vecs USING (item_id)""", "steps", "vecs"),
