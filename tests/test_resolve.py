@@ -75,3 +75,27 @@ def test_a_hot_item_does_not_change_the_result(spark):
     lists = [[1, 2, i % 3 + 1, 3] for i in range(300)] + [[1] * 5]
     got = as_rows(resolve.resolve_histories(histories(spark, *lists), lookup(spark)))
     assert sorted([i for i, _ in r] for r in got) == [[1, 1, 1, 1, 1], [1, 2, 1, 3], [1, 2, 2, 3], [1, 2, 3, 3]]
+
+
+def test_shuffle_join_splits_a_hot_item(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.lit(7).cast("bigint")
+        read = spark.range(6000).select(F.array(hot, "id", hot, F.col("id") + 1, hot).alias("history"))
+        vectors = spark.range(6002).select(
+            F.col("id").alias("item_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vec"))
+        df = resolve.resolve_histories(read, vectors)
+        rows = df.select("items").collect()
+        df.collect()
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r["items"]) for r in rows} == {(7, i, 7, i + 1, 7) for i in range(6000)}
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
