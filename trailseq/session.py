@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +25,29 @@ def build_session(app_name: str = "trailseq", master: str | None = None,
         builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Bring this package to the Python workers, once per application.
+
+    Functions given to ``mapInArrow`` and the like are pickled by name, so the workers must be able to import them
+    wherever the driver was started.
+    """
+    if getattr(spark.sparkContext, "_trailseq_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="trailseq-"), "trailseq.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    spark.sparkContext._trailseq_shipped = True
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -35,7 +59,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="trailseq-"))
     return context.getCheckpointDir()
