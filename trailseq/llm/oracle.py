@@ -2,4 +2,16 @@
 
 from __future__ import annotations
 
-ALL: dict[str, str] = {}
+WARC = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+latest AS (SELECT payload, max(page_id) AS latest FROM p WHERE payload_bytes >= 1000 GROUP BY payload)
+SELECT page_id, payload_bytes, sha1(p.payload) AS payload_digest,
+       CASE WHEN latest IS NULL OR latest = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN latest <> page_id THEN latest END AS refers_to
+FROM p LEFT JOIN latest ON p.payload = latest.payload
+"""
+
+ALL: dict[str, str] = {
+    "op4_content_addressed_warc": WARC,
+}

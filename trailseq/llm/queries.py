@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailseq.llm import common, langid, packing
+from trailseq.llm import common, doc_fingerprint, hmm, langid, packing, warc
 
 
 def tokenizer_path() -> str:
@@ -17,6 +17,21 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(common.table(spark, sf_dir, "documents"))
 
 
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive all pages, read the records back and list what they say."""
+    return warc.index(warc.read(spark, warc.write(common.table(spark, sf_dir, "pages"))))
+
+
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return doc_fingerprint.fingerprints(common.table(spark, sf_dir, "documents"))
+
+
+def text_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and hidden Markov log10 probability of every document."""
+    return hmm.score(common.table(spark, sf_dir, "documents"))
+
+
 def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 2048 tokens."""
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path())
@@ -24,5 +39,8 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALL = {
     "op3_language_bitmask": language_id,
+    "op4_content_addressed_warc": warc_archive,
+    "op7_paragraph_sketch": document_fingerprints,
+    "op8_hidden_markov": text_likelihood,
     "op9_bounded_packing": packed_sequences,
 }
