@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailseq.llm import common, doc_fingerprint, hmm, langid, packing, warc
+from trailseq.llm import common, doc_fingerprint, hmm, langid, minhash, packing, warc
 
 
 def tokenizer_path() -> str:
@@ -37,10 +37,16 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    return minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 ALL = {
     "op3_language_bitmask": language_id,
     "op4_content_addressed_warc": warc_archive,
     "op7_paragraph_sketch": document_fingerprints,
     "op8_hidden_markov": text_likelihood,
     "op9_bounded_packing": packed_sequences,
+    "op10_bbit_minhash": near_duplicates,
 }
