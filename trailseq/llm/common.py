@@ -127,3 +127,11 @@ def sha256_hex(text: str) -> str:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def checked_side(df: DataFrame, most_rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most_rows`` (narrow) rows, else as it is, for a shuffled join.
+
+    Only the plan differs, never the rows. ``df`` should be stored, as its rows are counted first.
+    """
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

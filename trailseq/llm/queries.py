@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trailseq.llm import common, doc_fingerprint, hmm, langid, minhash, packing, warc
+from trailseq.llm import common, doc_fingerprint, hmm, langid, line_dedup, minhash, packing, warc
 
 
 def tokenizer_path() -> str:
@@ -37,12 +38,19 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def lines_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines that no earlier line equals or is within one edit of, as a digest."""
+    kept = line_dedup.dedup_lines(common.table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicates of every document."""
     return minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
 ALL = {
+    "op2_deletion_neighbourhood": lines_deduplicated,
     "op3_language_bitmask": language_id,
     "op4_content_addressed_warc": warc_archive,
     "op7_paragraph_sketch": document_fingerprints,
