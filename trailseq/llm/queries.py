@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailseq.llm import common, doc_fingerprint, hmm, langid, line_dedup, minhash, packing, warc
+from trailseq.llm import common, decontaminate, doc_fingerprint, hmm, langid, line_dedup, minhash, packing, warc
 
 
 def tokenizer_path() -> str:
@@ -44,6 +44,12 @@ def lines_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents contain, each with its place and number of edits."""
+    return decontaminate.contaminated(
+        common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicates of every document."""
     return minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
@@ -53,6 +59,7 @@ ALL = {
     "op2_deletion_neighbourhood": lines_deduplicated,
     "op3_language_bitmask": language_id,
     "op4_content_addressed_warc": warc_archive,
+    "op6_cgk_decontamination": benchmark_passages,
     "op7_paragraph_sketch": document_fingerprints,
     "op8_hidden_markov": text_likelihood,
     "op9_bounded_packing": packed_sequences,
