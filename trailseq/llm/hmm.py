@@ -182,17 +182,16 @@ class Model:
         flat = np.concatenate([texts[i] for i in order]) if len(order) else np.zeros(0, dtype=np.int64)
         first = np.cumsum(lengths) - lengths
         active = int((lengths > 0).sum())
-        alpha = np.zeros((active, len(self.start)))
+        step, emit = np.ascontiguousarray(self.move.T), np.ascontiguousarray(self.emit.T)
+        alpha = np.repeat(self.start[:, None], active, axis=1)
         logs = np.zeros(len(order))
         t = 0
         while active:
             if t:
-                alpha = alpha[:active] @ self.move
-            else:
-                alpha = np.broadcast_to(self.start, alpha.shape)
-            alpha = alpha * self.emit[flat[first[:active] + t]]
-            scale = alpha.sum(axis=1)
-            alpha /= scale[:, None]
+                alpha = step @ alpha[:, :active]
+            alpha *= emit.take(flat[first[:active] + t], axis=1)
+            scale = alpha.sum(axis=0)
+            alpha /= scale
             logs[:active] += np.log10(scale)
             t += 1
             while active and lengths[active - 1] <= t:
@@ -203,32 +202,37 @@ class Model:
 
 def expected_counts(model: Model, stretches: np.ndarray, lengths: np.ndarray, begins: np.ndarray):
     """Expected starts, moves and emissions of symbol stretches (n, T), padded behind ``lengths``."""
-    n, size = stretches.shape
+    order = np.argsort(-lengths, kind="stable")
+    symbols, lengths, begins = np.ascontiguousarray(stretches[order].T), lengths[order], begins[order]
+    size, n = symbols.shape
     states = len(model.start)
-    alpha = np.zeros((size, n, states))
-    beta = np.ones((size, n, states))
-    scale = np.ones((size, n))
-    inside = np.arange(size)[:, None] < lengths[None, :]
-    emit = np.where(inside[:, :, None], model.emit[stretches.T], 1.0)
-    alpha[0] = np.where(begins[:, None], model.start, model.resting()) * emit[0]
-    scale[0] = alpha[0].sum(axis=1)
-    alpha[0] /= scale[0][:, None]
-    for t in range(1, size):
-        alpha[t] = (alpha[t - 1] @ model.move) * emit[t]
-        scale[t] = alpha[t].sum(axis=1)
-        alpha[t] /= scale[t][:, None]
+    active = [int(np.searchsorted(-lengths, -t)) for t in range(size + 1)]  # stretches longer than t
+    step, back = np.ascontiguousarray(model.move.T.astype(np.float32)), model.move.astype(np.float32)
+    emit = np.ascontiguousarray(model.emit.T.astype(np.float32)).take(symbols, axis=1)  # (states, T, n)
+    alpha = np.empty((size, states, n), dtype=np.float32)
+    inverse = np.ones((size, n), dtype=np.float32)
+    first = np.where(begins, model.start[:, None], model.resting()[:, None]).astype(np.float32)
+    for t in range(size):
+        k = active[t]
+        np.multiply(step @ alpha[t - 1, :, :k] if t else first[:, :k], emit[:, t, :k], out=alpha[t, :, :k])
+        np.divide(1, alpha[t, :, :k].sum(axis=0), out=inverse[t, :k])
+        alpha[t, :, :k] *= inverse[t, :k]
     moves = np.zeros((states, states))
-    for t in range(size - 2, -1, -1):
-        ahead = emit[t + 1] * beta[t + 1] / scale[t + 1][:, None]
-        follows = inside[t + 1]
-        moves += alpha[t][follows].T @ ahead[follows]
-        beta[t] = np.where(follows[:, None], ahead @ model.move.T, 1.0)
-    gamma = alpha * beta
-    gamma /= gamma.sum(axis=2, keepdims=True)
-    used = stretches.T[inside]
-    emissions = np.stack([np.bincount(used, weights=gamma[:, :, k][inside], minlength=len(model.emit))
-                          for k in range(states)], axis=1)
-    return gamma[0][begins].sum(axis=0), moves * model.move, emissions
+    beta = np.ones((states, n), dtype=np.float32)
+    for t in range(size - 1, -1, -1):
+        k = active[t + 1]
+        if k:
+            ahead = emit[:, t + 1, :k] * beta[:, :k] * inverse[t + 1, :k]
+            moves += alpha[t, :, :k] @ ahead.T
+            beta[:, :k] = back @ ahead
+        alpha[t, :, :active[t]] *= beta[:, :active[t]]
+        alpha[t, :, :active[t]] /= alpha[t, :, :active[t]].sum(axis=0)
+    used = np.concatenate([symbols[t, :active[t]] for t in range(size)])
+    emissions = np.zeros((len(model.emit), states))
+    for k in range(states):
+        gamma = np.concatenate([alpha[t, k, :active[t]] for t in range(size)])
+        emissions[:, k] = np.bincount(used, weights=gamma, minlength=len(model.emit))
+    return alpha[0][:, begins].sum(axis=1, dtype=float), moves * model.move, emissions
 
 
 def _stretches(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
