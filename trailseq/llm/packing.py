@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,8 @@ OPEN_WINDOWS = 32
 MIN_CUT = 16
 MERGED_PARTITIONS = 64
 END_ID = 1
-#: Bound on the words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED_WORDS = 400_000
+#: Words of a generation, and parts of words, whose ids a worker remembers; more begin a new generation.
+REMEMBERED_WORDS = 600_000
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint")
@@ -39,7 +40,9 @@ class Encoder:
     """Token ids of whole texts.
 
     The tokenizer normalizes and splits at white space before anything else, so the ids of a text are those of
-    its white-space-separated parts, and most parts have been seen before.
+    its white-space-separated words, and most words have been seen before. A word made of letters and then ASCII
+    punctuation is split there too, as the tokenizer does, and its letters are looked up in lower case.
+    What was seen is held in two generations; a full one becomes the older, which is then dropped.
     """
 
     def __init__(self, definition: str):
@@ -47,6 +50,8 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def ids(self, text: str | None) -> np.ndarray:
         """Little-endian unsigned 32-bit ids of ``text`` without special tokens, then the end id."""
@@ -54,14 +59,55 @@ class Encoder:
         try:
             found = b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            if len(self.known) > REMEMBERED_WORDS:
-                self.known.clear()
-            new = list({w for w in words if w not in self.known})
-            coded = self.tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)
-            for word, one in zip(new, coded):
-                self.known[word] = np.array(one.ids, dtype="<u4").tobytes()
+            self._learn(set(words))
             found = b"".join(map(self.known.__getitem__, words))
-        return np.append(np.frombuffer(found, dtype="<u4"), np.uint32(END_ID)).astype("<u4")
+        return np.frombuffer(found + _END, dtype="<u4")
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > REMEMBERED_WORDS:
+            self.older, self.known = self.known, {}
+        if len(self.parts) > REMEMBERED_WORDS:
+            self.parts.clear()
+        split, unknown = {}, set()
+        for word in words:
+            if word in self.known:
+                continue
+            if (ids := self.older.get(word)) is not None:
+                self.known[word] = ids
+                continue
+            parts = split[word] = _parts(word.decode("utf-8"))
+            unknown.update(p for p in parts if p not in self.parts)
+        unknown = list(unknown)
+        for part, one in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)):
+            self.parts[part] = array("I", one.ids).tobytes()
+        for word, parts in split.items():
+            self.known[word] = b"".join([self.parts[p] for p in parts])
+
+
+_END = np.array([END_ID], dtype="<u4").tobytes()
+#: Punctuation that the tokenizer never joins with the letters before it.
+_CLOSING = ".,;:!?)]}*%$#&-"
+#: Letters whose lower case depends on their place or has more than one character.
+_SPECIAL = frozenset("\u03a3\u0130")
+
+
+def _parts(word: str) -> tuple[str, ...]:
+    letters = word.rstrip(_CLOSING)
+    if letters.isalpha() and _SPECIAL.isdisjoint(letters):
+        lower = letters.lower()
+        return (lower,) if len(letters) == len(word) else (lower, word[len(letters):])
+    return (word,)
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(definition: str) -> Encoder:
+    """This process's encoder; what it has seen serves later tasks as well."""
+    if definition not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[definition] = Encoder(definition)
+    return _ENCODERS[definition]
 
 
 class Window:
@@ -114,7 +160,7 @@ class Packer:
 
 def _packing_task(definition, length: int, open_windows: int, min_cut: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition.value)
+        own = encoder(definition.value)
         packer = Packer(TaskContext.get().partitionId(), length, open_windows, min_cut)
 
         def out(windows: list[Window], still_open: bool) -> pa.RecordBatch:
@@ -136,7 +182,7 @@ def _packing_task(definition, length: int, open_windows: int, min_cut: int, with
         for batch in common.chunks(batches):
             done = []
             for doc_id, text in zip(common.column(batch, "doc_id"), common.column(batch, "text")):
-                done += packer.place(doc_id, encoder.ids(text))
+                done += packer.place(doc_id, own.ids(text))
             yield out(done, False)
         yield out(packer.open, True)
     return run
