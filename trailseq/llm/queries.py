@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailseq.llm import common, decontaminate, doc_fingerprint, hmm, langid, line_dedup, minhash, packing, warc
+from trailseq.llm import common, decontaminate, doc_fingerprint, hmm, langid, line_dedup, minhash, packing, substring_dedup, warc
 
 
 def tokenizer_path() -> str:
@@ -50,6 +50,13 @@ def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
 
+def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that no repeated window of 13 words covers, as a digest."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicates of every document."""
     return minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
@@ -59,6 +66,7 @@ ALL = {
     "op2_deletion_neighbourhood": lines_deduplicated,
     "op3_language_bitmask": language_id,
     "op4_content_addressed_warc": warc_archive,
+    "op5_suffix_trees": repeats_removed,
     "op6_cgk_decontamination": benchmark_passages,
     "op7_paragraph_sketch": document_fingerprints,
     "op8_hidden_markov": text_likelihood,
