@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailseq.llm import common, decontaminate, doc_fingerprint, hmm, langid, line_dedup, minhash, packing, substring_dedup, warc
+from trailseq.llm import common, decontaminate, doc_fingerprint, hmm, langid, line_dedup, minhash, packing, pii, substring_dedup, warc
 
 
 def tokenizer_path() -> str:
@@ -38,6 +38,17 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.find(common.table(spark, sf_dir, "documents"))
+    base = {k: F.col(k) for k in pii.PATTERNS}
+    both = {k: F.concat(F.col(k), pii.added_of(k)) for k in pii.PATTERNS}
+    return found.select(
+        "doc_id", *(F.size(k).cast("bigint").alias(f"n_{k}") for k in pii.PATTERNS),
+        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(both).alias("spans"),
+        F.size("added").cast("bigint").alias("n_added"))
+
+
 def lines_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines that no earlier line equals or is within one edit of, as a digest."""
     kept = line_dedup.dedup_lines(common.table(spark, sf_dir, "documents"))
@@ -63,6 +74,7 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL = {
+    "op1_bootstrapped_pii": personal_data,
     "op2_deletion_neighbourhood": lines_deduplicated,
     "op3_language_bitmask": language_id,
     "op4_content_addressed_warc": warc_archive,
