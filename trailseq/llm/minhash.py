@@ -7,7 +7,7 @@ estimates their similarity; pairs far below the threshold go, all others are con
 
 Documents with equal sets are one class, represented by the smallest id. No bucket is expanded into all its pairs:
 first every class is held against one well-connected class, then against the centre of each of its buckets, and only
-where a bucket still holds classes of different components the pairs between these are listed.
+where a bucket still holds classes of different components those outside its largest one are held against the rest.
 """
 
 from __future__ import annotations
@@ -33,10 +33,11 @@ LINK = 75
 MARGIN = 0.16
 #: Nodes on either side of a tile of pairs, and rows of a bucket that one task compares.
 BLOCK = 64
-BUCKET_BLOCK = 1024
+BUCKET_BLOCK = 512
 
 _HASHES = BANDS * ROWS
 _SIGNATURE = _HASHES * BITS // 64
+_FIELDS = np.array([sum(1 << k for k in range(0, 64, BITS))], dtype=np.uint64)[0]
 _FACTORS = common.mix(np.arange(1, 2 * _HASHES + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 
 
@@ -117,14 +118,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def estimate(a: str, b: str) -> F.Column:
     """Similarity from the equal fields of two signatures, corrected for fields that are equal by chance."""
-    ones = sum(1 << k for k in range(0, 64, BITS))
-    ones -= (1 << 64) if ones >= 1 << 63 else 0
     differing = F.lit(0)
     for k in range(_SIGNATURE):
         x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
         for shift in range(1, BITS):
             x = x.bitwiseOR(F.shiftrightunsigned(F.col(a)[k].bitwiseXOR(F.col(b)[k]), shift))
-        differing = differing + F.bit_count(x.bitwiseAND(F.lit(ones)))
+        differing = differing + F.bit_count(x.bitwiseAND(F.lit(int(_FIELDS.view(np.int64)))))
     chance = 2.0 ** -BITS
     return (1 - differing / _HASHES - chance) / (1 - chance)
 
@@ -139,6 +138,17 @@ def _plausible(pairs: DataFrame, signed: DataFrame) -> DataFrame:
         & (estimate("signature_a", "signature_b") >= LINK / 100 - MARGIN)).select("a", "b")
 
 
+def _linked(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the other full sets have a link to ``own``."""
+    if not others:
+        return np.zeros(0, dtype=bool)
+    sizes = np.array([len(o) for o in others])
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    shared = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * shared >= LINK * (len(own) + sizes - shared)
+
+
 def _confirm_tile(group: pa.Table) -> pa.Table:
     """The pairs of a tile that are linked on their full sets; it holds the texts of its nodes once each."""
     kind = group.column("kind").to_numpy()
@@ -152,12 +162,7 @@ def _confirm_tile(group: pa.Table) -> pa.Table:
         partners.setdefault(node[k], []).append(other[k])
     a, b = [], []
     for centre, mates in partners.items():
-        own = sets[centre]
-        sizes = np.array([len(sets[m]) for m in mates])
-        flat = np.concatenate([sets[m] for m in mates])
-        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-        shared = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
-        linked = 100 * shared >= LINK * (len(own) + sizes - shared)
+        linked = _linked(sets[centre], [sets[m] for m in mates])
         b += [m for m, yes in zip(mates, linked) if yes]
         a += [centre] * int(linked.sum())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -181,56 +186,89 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.groupBy(*tile).applyInArrow(_confirm_tile, "a bigint, b bigint")
 
 
-def _cross_pairs(group: pa.Table) -> pa.Table:
-    """Pairs of different components within a block of a bucket that the signatures don't rule out."""
-    rep, part = group.column("rep").to_numpy(), group.column("component").to_numpy()
-    size, left = group.column("n_shingles").to_numpy(), group.column("is_left").to_numpy(zero_copy_only=False)
-    same = group.column("same").to_numpy(zero_copy_only=False)
-    words = np.array(group.column("signature").to_pylist(), dtype=np.int64).view(np.uint64)
-    ones = np.uint64(sum(1 << k for k in range(0, 64, BITS)))
-    chance, found_a, found_b = 2.0 ** -BITS, [], []
-    others = np.flatnonzero(~left | same)
-    for k in np.flatnonzero(left):
-        mates = others[(part[others] != part[k]) & (~same[k] | (rep[others] > rep[k]))]
-        x = words[mates] ^ words[k]
+class _Tile:
+    """Probes and targets of a bucket; ``mates(k)`` are the targets that probe k has to be held against."""
+
+    def __init__(self, group: pa.Table):
+        numbers = {n: group.column(n).to_numpy(zero_copy_only=False) for n in (
+            "bucket", "rep", "component", "n_shingles", "probe", "minor")}
+        self.bucket, self.rep, self.part, self.size, self.probe, self.minor = numbers.values()
+        self.part = self.part.copy()
+        arrays = lambda n, width: group.column(n).combine_chunks().flatten().to_numpy().reshape(
+            -1, width).view(np.uint64)
+        self.words, self.buckets = arrays("signature", _SIGNATURE), arrays("buckets", BANDS)
+        self.targets = np.flatnonzero(~self.probe)
+
+    def mates(self, k: int) -> np.ndarray:
+        mates = self.targets
+        # of two minor nodes each is a probe; the pair belongs to the smaller one
+        mates = mates[(self.part[mates] != self.part[k]) & (~self.minor[mates] | (self.rep[mates] > self.rep[k]))]
+        small, large = np.minimum(self.size[mates], self.size[k]), np.maximum(self.size[mates], self.size[k])
+        mates = mates[100 * small >= LINK * large]
+        x = self.words[mates] ^ self.words[k]
         y = x.copy()
         for shift in range(1, BITS):
             y |= x >> np.uint64(shift)
-        differing = np.bitwise_count(y & ones).sum(axis=1)
-        likely = (1 - differing / _HASHES - chance) / (1 - chance) >= LINK / 100 - MARGIN
-        likely &= 100 * np.minimum(size[mates], size[k]) >= LINK * np.maximum(size[mates], size[k])
-        found_a.append(np.full(int(likely.sum()), rep[k]))
-        found_b.append(rep[mates[likely]])
-    join = lambda x: np.concatenate(x) if x else np.zeros(0, dtype=np.int64)
-    a, b = join(found_a), join(found_b)
-    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
-
-
-def _residual_pairs(rows: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs between components inside buckets; ``rows`` has bucket, rep, component. Large buckets are cut into blocks."""
-    mixed = rows.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        F.ceil(F.count("*") / BUCKET_BLOCK).alias("blocks")).where("low < high").select("bucket", "blocks")
-    own = rows.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "rep", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") <= F.col("other")).alias("is_left"), (F.col("block") == F.col("other")).alias("same"))
-    return spread.join(signed.select("rep", "signature", "n_shingles"), "rep").groupBy("bucket", "i", "j").applyInArrow(
-        _cross_pairs, "a bigint, b bigint").distinct()
-
-
-def _towards_larger(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``b`` becomes the node whose component, the hub, has more pairs."""
-    label = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))
-    both = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left").select(
-        "a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b"))
-    number = both.select(F.explode(F.array("of_a", "of_b")).alias("c")).groupBy("c").agg(F.count("*").alias("n"))
-    size = lambda x: number.select(F.col("c").alias(f"of_{x}"), F.col("n").alias(f"n_{x}"))
-    swap = F.col("n_a") > F.col("n_b")
-    return both.join(size("a"), "of_a").join(size("b"), "of_b").select(
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"),
-        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"),
-        F.when(swap, F.col("of_a")).otherwise(F.col("of_b")).alias("hub"))
+        differing = np.bitwise_count(y & _FIELDS).sum(axis=1)
+        chance = 2.0 ** -BITS
+        mates = mates[(1 - differing / _HASHES - chance) / (1 - chance) >= LINK / 100 - MARGIN]
+        # pairs that share several buckets belong to the first
+        shared = self.buckets[mates] == self.buckets[k]
+        own = self.buckets[k] == self.bucket[k:k + 1].view(np.uint64)
+        return mates[shared.argmax(axis=1) == own.argmax()] if len(mates) else mates
+
+
+def _open_nodes(group: pa.Table) -> pa.Table:
+    """The rows of a tile that take part in a pair that the signatures don't rule out."""
+    tile = _Tile(group)
+    needed = np.zeros(len(tile.rep), dtype=bool)
+    for k in np.flatnonzero(tile.probe):
+        mates = tile.mates(k)
+        needed[mates] = True
+        needed[k] = len(mates) > 0
+    return group.filter(pa.array(needed))
+
+
+def _tile_links(group: pa.Table) -> pa.Table:
+    """Links between components in a tile; what a link has joined isn't compared any more."""
+    tile, sets = _Tile(group), []
+    for batch in common.chunks(iter(group.select(["text"]).combine_chunks().to_batches())):
+        sets += shingle_sets(common.column(batch, "text"))
+    a, b = [], []
+    for k in np.flatnonzero(tile.probe):
+        mates = tile.mates(k)
+        for at in range(0, len(mates), BLOCK):
+            some = mates[at:at + BLOCK]
+            some = some[tile.part[some] != tile.part[k]]
+            for m in some[_linked(sets[k], [sets[m] for m in some])]:
+                if tile.part[m] != tile.part[k]:
+                    a.append(tile.rep[k])
+                    b.append(tile.rep[m])
+                    tile.part[tile.part == tile.part[m]] = tile.part[k]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _residual_links(rows: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components that share a bucket; ``rows`` has bucket, rep, component.
+
+    In a bucket the nodes outside its largest component are probes, and all nodes are targets. Both are cut into
+    blocks; a tile holds one block of either. Signatures come first, texts only of nodes that may have a link.
+    """
+    counts = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("bucket").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("major"), F.count("*").alias("parts")).where(
+        "parts > 1").select(
+        "bucket", F.col("major.component").alias("major"), F.ceil(F.col("all") / BUCKET_BLOCK).alias("columns"),
+        F.ceil((F.col("all") - F.col("major.n")) / BUCKET_BLOCK).alias("rows"))
+    own = rows.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("major"))
+    row, column = F.pmod(F.xxhash64("rep"), F.col("rows")), F.pmod(F.xxhash64("rep"), F.col("columns"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    plain = ["bucket", "rep", "component", "minor"]
+    spread = own.where("minor").select(*plain, F.lit(True).alias("probe"), row.alias("i"), each("columns").alias("j")).unionByName(
+        own.select(*plain, F.lit(False).alias("probe"), each("rows").alias("i"), column.alias("j")))
+    tiles = spread.join(signed.select("rep", "signature", "n_shingles", "buckets"), "rep")
+    needed = tiles.groupBy("bucket", "i", "j").applyInArrow(_open_nodes, tiles.schema)
+    return needed.join(texts, "rep").groupBy("bucket", "i", "j").applyInArrow(_tile_links, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -267,27 +305,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         (-F.col("c")).alias("a"), F.col("rep").alias("b")).where("a != b")
     first = _plausible(best, reps).withColumn("hub", F.col("a"))
     links = written_table(_confirmed(first, texts), "links")
-    tested, labels = best, components(links)
-    for step in ("centres", "blocks"):
-        parts = mates.select("bucket", "rep").join(
-            labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
-            "component", F.coalesce("component", "rep"))
-        if step == "centres":
-            where = parts.join(centred.select("bucket", "rep", "centre"), ["bucket", "rep"]).join(
-                parts.select("bucket", F.col("rep").alias("centre"), F.col("component").alias("other")),
-                ["bucket", "centre"])
-            pairs = _plausible(where.where("component != other").select(
-                F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), reps)
-        else:
-            pairs = _residual_pairs(parts, reps)
-        pairs = written_table(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if step == "centres":
-            pairs = pairs.withColumn("hub", F.col("a"))
-        else:
-            pairs = _towards_larger(pairs, labels)
-        links = links.unionByName(written_table(_confirmed(pairs, texts), "links"))
-        tested = tested.unionByName(pairs.select("a", "b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        labels = components(links)
+    labels = components(links)
+    in_parts = lambda: mates.select("bucket", "rep").join(
+        labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep"))
+    parts = in_parts()
+    apart = parts.join(centred.select("bucket", "rep", "centre"), ["bucket", "rep"]).join(
+        parts.select("bucket", F.col("rep").alias("centre"), F.col("component").alias("other")), ["bucket", "centre"])
+    second = apart.where("component != other").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    links = links.unionByName(written_table(
+        _confirmed(_plausible(second, reps).withColumn("hub", F.col("a")), texts), "links"))
+    labels = components(links)
+    links = links.unionByName(written_table(_residual_links(in_parts(), reps, texts), "links"))
+    labels = components(links)
 
     of_class = reps.select("rep", *keys).join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         *keys, F.coalesce("component", "rep").alias("component"))
