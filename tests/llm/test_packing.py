@@ -1,0 +1,80 @@
+import zlib
+
+import numpy as np
+import odd
+import pytest
+from tokenizers import Tokenizer
+from trailseq.llm import packing, queries
+
+TRICKY = ["Ünï’s it's don't a-b x.y 'S .'s ΑΣ İstanbul éa ́b 1234 a1. A--  b c d",
+          "HELLO!!! wor'll.. [x] ﬁ ǅ <|endoftext|> a<|endoftext|>.", "Σ ΟΔΟΣ. ΟΔΟΣ", "a\x0bb\x0cc\x1cd e"]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(queries.tokenizer_path())
+
+
+def test_ids_equal_the_tokenizers(tokenizer):
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    for text in [*TRICKY, "", None, odd.LONG, *odd.random_texts(50)]:
+        want = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        assert list(encoder.ids(text)) == want
+
+
+def test_generations(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 20)
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    for text in odd.random_texts(100, words=80):
+        assert list(encoder.ids(text)) == tokenizer.encode(text, add_special_tokens=False).ids + [1]
+
+
+def check(rows, docs, tokenizer, length):
+    """Pieces tile every document, sequences have no gap, and every piece holds the ids it names."""
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert set(by_doc) == set(docs)
+    for i, pieces in by_doc.items():
+        ids = np.array(tokenizer.encode(docs[i] or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(ids[at:at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= length
+    return sum(r.length for r in rows) / (length * len(by_sequence))
+
+
+def test_round_trip_and_padding(spark, tokenizer):
+    docs = dict(enumerate([*odd.random_texts(400, seed=3, words=300), odd.LONG, "", None, *TRICKY]))
+    frame = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(6)
+    rows = packing.pack(frame, queries.tokenizer_path(), with_ids=True).collect()
+    assert check(rows, docs, tokenizer, packing.LENGTH) > 0.97
+    assert all(zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 for r in rows)
+    small = packing.pack(frame, queries.tokenizer_path(), length=64, open_windows=2, min_cut=8).collect()
+    assert check(small, docs, tokenizer, 64) > 0.85
+
+
+def test_open_windows_are_bounded():
+    packer = packing.Packer(0, 100, 3, 10)
+    rng = np.random.default_rng(1)
+    for k in range(300):
+        packer.place(k, np.zeros(rng.integers(1, 250), dtype="<u4"))
+        assert len(packer.open) <= 3 and all(0 < w.used < 100 for w in packer.open)
+
+
+def test_odd_rows(spark):
+    rows = packing.pack(odd.documents(spark), queries.tokenizer_path()).collect()
+    assert sum(r.start == 0 for r in rows) == len(odd.ROWS)
+    assert {(r.length, r.doc_tokens) for r in rows if r.doc_id in (1, 2, 3)} == {(1, 1)}
+    assert packing.pack(odd.empty(spark), queries.tokenizer_path()).count() == 0
