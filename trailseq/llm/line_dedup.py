@@ -5,9 +5,10 @@ become equal when the same position is deleted. So every line emits itself and a
 keys meet in an aggregation that keeps the earliest line of each key (never a list of all its lines), and the partner
 found is verified by its edit distance before the later line goes.
 
-A line of 300 characters has 300 deletions, but almost no line has a partner. So two coarser rounds come first: a line
-is cut into segments, and as one edit touches one segment, partners agree on a line less some segment. Lines
-that share none of these keys with another line have no partner and go no further; the rounds lose no pair.
+A line of 300 characters has 300 deletions of 299, but almost no line has a partner. So coarser rounds come first: a
+line is cut into segments, and as one edit touches one segment, partners agree on the line less some segment. Lines
+that share none of these keys with another line have no partner and go no further; the rounds lose no pair. Of
+lines that share one, the deletions within that segment are emitted, keyed by the rest of the line.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from trailseq.session import written_table
 
 #: Shorter lines stay as they are.
 LEAST_CHARS = 12
-#: Segments of the first and the second coarse round.
+#: Segments of the first and of the second round.
 COARSE, FINE = 2, 16
 #: Rows of (document, place) up to which lines are fetched with a broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -33,19 +34,30 @@ def _digest(*parts: Column) -> list[Column]:
     return [F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b")]
 
 
-def _segment_keys(line: Column, segments: int) -> Column:
-    """Hashes of the line less each segment, for partners of the same length and of one more or less.
+def _segment(line: Column, segments: int, q: Column, less: int) -> tuple[Column, Column]:
+    """Hash of the line less its segment ``q``, and the segment, for partners of the same or another length.
 
-    For a pair the shorter length places the segments; a line takes part with its own length and with one less.
+    For a pair the shorter length places the segments; a line takes part with its own length (less = 0) and with one
+    character less (less = 1, where the segment has that character more).
     """
-    keys = []
-    for less in (0, 1):
-        size = F.length(line) - less
-        for q in range(segments):
-            start, end = F.floor(size * q / segments).cast("int"), F.floor(size * (q + 1) / segments).cast("int")
-            keys.append(F.xxhash64(F.lit(q), size, F.substring(line, F.lit(1), start),
-                                   F.substring(line, end + less + 1, size - end)))
-    return F.array(*keys)
+    size = F.length(line) - less
+    start, end = F.floor(size * q / segments).cast("int"), F.floor(size * (q + 1) / segments).cast("int")
+    rest = F.xxhash64(q, size, F.substring(line, F.lit(1), start), F.substring(line, end + less + 1, size - end))
+    return rest, F.substring(line, start + 1, end - start + less)
+
+
+def _coarse_keys(line: Column) -> Column:
+    return F.array(*(_segment(line, COARSE, F.lit(q), less)[0] for less in (0, 1) for q in range(COARSE)))
+
+
+def _fine_segments(line: Column) -> Column:
+    """Array of (key, less, segment)."""
+    def of(less: int) -> Column:
+        def one(q: Column) -> Column:
+            key, segment = _segment(line, FINE, q, less)
+            return F.struct(key.alias("key"), F.lit(less).alias("less"), segment.alias("segment"))
+        return F.transform(F.sequence(F.lit(0), F.lit(FINE - 1)), one)
+    return F.concat(of(0), of(1))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -56,13 +68,12 @@ def _lines(docs: DataFrame) -> DataFrame:
     ).where(F.length("line") >= LEAST_CHARS)
 
 
-def _sharing(lines: DataFrame, segments: int) -> DataFrame:
-    """Digests (a, b) of the distinct lines that share a segment key with another; ``lines`` has a, b and keys."""
-    keys = lines.select("a", "b", F.explode("keys").alias("key"))
+def _shared(keys: DataFrame) -> DataFrame:
+    """The rows (a, b, key) whose key another line has too."""
     shared = keys.groupBy("key").agg(
         *(f(c).alias(f"{n}_{c}") for n, f in (("low", F.min), ("high", F.max)) for c in "ab")).where(
         "low_a < high_a or low_b < high_b").select("key")
-    return keys.join(shared, "key", "left_semi").select("a", "b").distinct()
+    return keys.join(shared, "key", "left_semi")
 
 
 def _fetch(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -79,18 +90,24 @@ def _fetch(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 def _partners(lines: DataFrame) -> DataFrame:
     """(a, b, earliest): for distinct ``lines`` (a, b, first, line) the earliest line within one edit, if earlier."""
-    n = F.length("line")
-    gone = lines.select("first", F.posexplode(F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(
-        F.substring("line", F.lit(1), i - 1), F.substring(F.col("line"), i + 1, n)))).alias("place", "rest"))
-    deletions = gone.select("first", "place", *_digest(F.col("rest")))
-    replaced = deletions.groupBy("a", "b", "place").agg(F.min("first").alias("other"), F.count("*").alias("n")).where(
-        "n > 1").drop("n")
-    whole = lines.select("a", "b", F.col("first").alias("other"))
-    longer = deletions.groupBy("a", "b").agg(F.min("first").alias("other"))
+    segments = lines.select("a", "b", "first", F.explode(_fine_segments(F.col("line"))).alias("s")).select(
+        "a", "b", "first", "s.*")
+    open_ = written_table(_shared(segments), "open-segments")
+    n = F.length("segment")
+    gone = written_table(
+        open_.where(n > 0).select("first", "key", "less", F.posexplode(F.transform(
+            F.sequence(F.lit(1), n), lambda i: F.concat(
+                F.substring("segment", F.lit(1), i - 1), F.substring(F.col("segment"), i + 1, n))))
+            .alias("place", "rest")), "deletions")
+    replaced = gone.groupBy("key", "less", "place", "rest").agg(
+        F.min("first").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n")
+    whole = open_.where("less = 0").select("key", F.col("segment").alias("rest"), "first")
+    shorter = gone.where("less = 1")
+    longer = shorter.groupBy("key", "rest").agg(F.min("first").alias("other"))
     found = (
-        deletions.join(replaced, ["a", "b", "place"]).select("first", "other")
-        .unionByName(deletions.join(whole, ["a", "b"]).select("first", "other"))
-        .unionByName(lines.select("a", "b", "first").join(longer, ["a", "b"]).select("first", "other"))
+        gone.join(replaced, ["key", "less", "place", "rest"]).select("first", "other")
+        .unionByName(shorter.join(whole.withColumnRenamed("first", "other"), ["key", "rest"]).select("first", "other"))
+        .unionByName(whole.join(longer, ["key", "rest"]).select("first", "other"))
         .where("other < first").distinct())
     text = lines.select(F.col("first").alias("other"), F.col("line").alias("other_line"))
     return (
@@ -110,17 +127,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     docs = docs.select(*kept)
     lines = _lines(docs).select("at", "text_key", "pos", *_digest(F.col("line")),
-                                _segment_keys(F.col("line"), COARSE).alias("keys"))
+                                _coarse_keys(F.col("line")).alias("keys"))
     width = 2 * COARSE
     distinct = written_table(
         lines.groupBy("a", "b").agg(
             F.min(F.struct("at", "pos")).alias("first"), F.count("*").alias("n"),
             *(F.min(F.col("keys")[k]).alias(f"k{k}") for k in range(width))), "distinct-lines")
-    coarse = _sharing(distinct.select("a", "b", F.array(*(f"k{k}" for k in range(width))).alias("keys")), COARSE)
+    keys = distinct.select("a", "b", F.explode(F.array(*(f"k{k}" for k in range(width)))).alias("key"))
+    coarse = _shared(keys).select("a", "b").distinct()
     near = written_table(_fetch(docs, distinct.join(coarse, ["a", "b"]).select("a", "b", "first")), "near-lines")
-    fine = _sharing(near.select("a", "b", _segment_keys(F.col("line"), FINE).alias("keys")), FINE)
-    closest = written_table(near.join(fine, ["a", "b"], "left_semi"), "closest-lines")
-    partners = _partners(closest)
+    partners = _partners(near)
 
     decided = distinct.join(partners, ["a", "b"], "left").where("n > 1 or earliest is not null").select(
         "a", "b", F.least("first", F.coalesce("earliest", "first")).alias("earliest"))
