@@ -65,7 +65,7 @@ def test_json_pairs_and_values_round_trip(spark, tmp_path):
     line = next(l for f in sorted(os.listdir(path)) if f.endswith(".json") for l in open(f"{path}/{f}"))
     assert line.startswith('{"_1":')
     open(f"{path}/notes.txt", "w").write("not json\n")
-    got = json_lines.read_histories(spark, path, strict=True, with_file=True)
+    got = json_lines.read_histories(spark, path, strict=True, with_file=True, suffix=".json")
     assert sorted((r.user, r.history) for r in got.collect()) == sorted(rows)
     assert all(".json" in r.file for r in got.collect())
 

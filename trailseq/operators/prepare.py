@@ -65,10 +65,15 @@ def shifted_long(long: DataFrame, key: str = "seq_id") -> DataFrame:
 
 
 def hash_split(key: Column | str, train: float = 0.9) -> Column:
-    """``train`` or ``validation`` from the first 16 bits of an MD5 of the key: repeatable, no shuffle."""
-    edge = format(int(train * 65536), "04x")
+    """``train`` or ``validation`` from the first 16 bits of an MD5 of the key: repeatable, no shuffle.
+
+    A NULL key is in validation, but for ``train=1.0``, which puts every row into train.
+    """
+    if not 0 <= train <= 1:
+        raise ValueError("train must be between 0 and 1")
     text = (F.col(key) if isinstance(key, str) else key).cast("string")
-    return F.when(F.substring(F.md5(text), 1, 4) < edge, "train").otherwise("validation")
+    bits = F.coalesce(F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int"), F.lit(65535))
+    return F.when(bits < int(train * 65536), "train").otherwise("validation")
 
 
 def random_split(rows: DataFrame, train: float = 0.9, seed: int = 0) -> DataFrame:

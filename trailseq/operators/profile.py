@@ -42,7 +42,6 @@ def ratio_of_counts(counts: DataFrame) -> DataFrame:
     return counts.select(
         "n_unique", "n_all",
         F.try_divide(F.col("n_unique").cast("double"), F.col("n_all")).alias("ratio"),
-        F.format_string("%d of %d are unique", "n_unique", "n_all").alias("line"),
     )
 
 
@@ -73,9 +72,7 @@ def channel_range(vectors: DataFrame) -> DataFrame:
     """Smallest and largest channel over all vectors, without exploding them."""
     low, high = F.min(F.array_min("vec")), F.max(F.array_max("vec"))
     return vectors.agg(
-        low.alias("min_channel"), high.alias("max_channel"),
-        F.format_string("Channel data ranges from %5.5f to %5.5f", low, high).alias("line"),
-    )
+        low.alias("min_channel"), high.alias("max_channel"))
 
 
 def vector_sums(vectors: DataFrame) -> DataFrame:
@@ -91,7 +88,14 @@ def normalized_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def normalized_sums(vectors: DataFrame) -> DataFrame:
-    return vector_sums(normalized_vectors(vectors))
+    """Channel sums of the min-max-scaled vectors, from one pass: scaling is affine, so sum and range are enough."""
+    narrow = written_table(
+        vectors.withColumns({"channel_sum": add_up("vec"), "size": F.size("vec"), "low": F.array_min("vec"),
+                             "high": F.array_max("vec")}).drop("vec"), "sums")
+    low, high = (narrow.agg(f(c).alias("v")).scalar() for f, c in ((F.min, "low"), (F.max, "high")))
+    bounded = narrow.withColumns({"low": low, "high": high})
+    scaled = F.try_divide(F.col("channel_sum") - F.col("size") * F.col("low"), F.col("high") - F.col("low"))
+    return bounded.withColumn("channel_sum", scaled).drop("size", "low", "high")
 
 
 def channels(vectors: DataFrame) -> DataFrame:
@@ -109,7 +113,8 @@ def histogram(rows: DataFrame, value: str, bins: int | str = 10, n: str | None =
 
     The last bin includes the upper edge. ``n`` names a count column when the rows are counted already.
     Without given edges the range is a scalar subquery. ``bins="auto"`` takes the narrower of the Sturges
-    and the Freedman-Diaconis width (quartiles from an approximate percentile). Empty bins have no row.
+    and the Freedman-Diaconis width (quartiles from an approximate percentile). Empty bins have n = 0; without
+    any value there are no bins.
     """
     rows, weight = _counted(rows, value, n)
     column = F.col(value).cast("double")
@@ -133,18 +138,18 @@ def histogram(rows: DataFrame, value: str, bins: int | str = 10, n: str | None =
         F.when(span > 0, span / F.col("bins")).otherwise(1.0 / F.col("bins")).alias("width"),
         F.col("bins").cast("bigint").alias("bins"),
     )
+    stats = written_table(stats.where("low is not null"), "bin-edges")  # one row, read twice
     edges = stats.select(F.struct("low", "width", "bins").alias("e")).scalar()
     placed = rows.select(column.alias("x"), weight.alias("w"), edges.alias("e"))
     position = F.floor((F.col("x") - F.col("e.low")) / F.col("e.width"))
-    return (
-        placed.groupBy(F.least(position, F.col("e.bins") - 1).cast("bigint").alias("bin"),
-                       F.col("e.low").alias("low"), F.col("e.width").alias("width"))
-        .agg(F.sum("w").cast("bigint").alias("n"))
-        .select("bin",
-                (F.col("low") + F.col("bin") * F.col("width")).alias("bin_low"),
-                (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("bin_high"),
-                "n")
-    )
+    filled = placed.groupBy(F.least(position, F.col("e.bins") - 1).cast("bigint").alias("bin")).agg(
+        F.sum("w").cast("bigint").alias("n"))
+    grid = stats.select("low", "width", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins") - 1)).alias("bin"))
+    return grid.join(filled, "bin", "left").select(
+        "bin",
+        (F.col("low") + F.col("bin") * F.col("width")).alias("bin_low"),
+        (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("bin_high"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def _quartiles(column: Column, n: str | None) -> Column:

@@ -19,9 +19,17 @@ FEATURE = "bert"
 
 
 def decode_features(features: DataFrame, feature: str = FEATURE) -> DataFrame:
-    """Feature records to ``item_id``, ``vec``; the vector is empty where the feature is absent."""
-    decoded = F.from_json(F.col("features")[feature], "array<double>")
-    return features.select("item_id", F.coalesce(decoded, F.array().cast("array<double>")).alias("vec"))
+    """Feature records to ``item_id``, ``vec``; the vector is empty where the feature is absent.
+
+    A feature that is there but isn't an array of numbers is an error, not a missing item.
+    """
+    raw = F.col("features")[feature]
+    decoded = F.from_json(raw, "array<double>")
+    broken = F.raise_error(F.concat(F.lit(f"feature {feature} of item "), F.coalesce(
+        F.col("item_id").cast("string"), F.lit("NULL")), F.lit(" is not an array of numbers: "), F.left(raw, F.lit(80))))
+    whole = F.coalesce(~F.exists(decoded, lambda x: x.isNull()), F.lit(False))
+    return features.select("item_id", F.when(raw.isNull(), F.array().cast("array<double>")).when(
+        whole, decoded).otherwise(broken.cast("array<double>")).alias("vec"))
 
 
 def distinct_items(histories: DataFrame) -> DataFrame:

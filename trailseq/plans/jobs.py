@@ -19,23 +19,36 @@ def collect_job(spark: SparkSession, contexts_path: str, out_path: str, checkpoi
 
 
 def resolve_job(spark: SparkSession, collected_path: str, features: DataFrame, out_path: str) -> None:
-    histories = json_lines.read_histories(spark, collected_path)
+    histories = json_lines.read_histories(spark, collected_path, strict=True)
     resolved = resolve.resolve_histories(histories, resolve.decode_features(features))
     json_lines.write_resolved(resolved, out_path)
 
 
 def lookup_job(spark: SparkSession, collected_path: str, features: DataFrame, out_path: str) -> None:
-    histories = json_lines.read_histories(spark, collected_path)
+    histories = json_lines.read_histories(spark, collected_path, strict=True)
     json_lines.write_pairs(resolve.lookup_table(histories, resolve.decode_features(features)), out_path)
 
 
 def split_job(spark: SparkSession, resolved_path: str, out_path: str, dim: int = DEFAULT_DIM,
               fmt: str = "json", train: float = 0.9, seed: int = 0) -> None:
-    resolved = json_lines.read_resolved(spark, resolved_path)
+    resolved = json_lines.read_resolved(spark, resolved_path, strict=True)
     ready = prepare.prepare_sequences(prepare.vectors_only(resolved), dim).select("value")
     json_lines.write_split(prepare.random_split(ready, train, seed), out_path, fmt=fmt)
 
 
+def last_histories(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``user``, ``history`` of a tree of history files: per reader the row of the file whose path is last."""
+    rows = json_lines.read_histories(spark, path, strict=True, with_file=True)
+    # a reader's rows of one file have no order; the longer, then the larger history counts as the later one
+    rows = rows.withColumn("at", F.struct("file", F.size("history").alias("n"), "history"))
+    return collect.last_per_key(rows, "user", "history", "at")
+
+
+def profile_files_job(spark: SparkSession, path: str | list[str]) -> dict[str, DataFrame]:
+    """The history part of the profile over files, last file per reader first."""
+    return profile_histories(last_histories(spark, path))
+
+
 def profile_histories(histories: DataFrame) -> dict[str, DataFrame]:
     """The tables of the history part of the profile, from two small stored count tables."""
     copies = profile.history_copies(histories)

@@ -144,13 +144,12 @@ def _stats(values: str, *names: str) -> str:
 
 def _histogram(values: str, bins: int, *names: str) -> str:
     return _sql(f"""
-        SELECT bin, round(lo + bin * w, 6) AS bin_low, round(lo + (bin + 1) * w, 6) AS bin_high, count(*) AS n
-        FROM (SELECT lo, w, CAST(least(floor((x - lo) / w), {bins - 1}) AS BIGINT) AS bin
-              FROM (SELECT CAST(x AS DOUBLE) AS x FROM {values}) v
-              CROSS JOIN (SELECT CAST(min(x) AS DOUBLE) AS lo,
-                                 (CAST(max(x) AS DOUBLE) - CAST(min(x) AS DOUBLE)) / {bins} AS w
-                          FROM {values}) r)
-        GROUP BY bin, lo, w""", *names)
+        , r AS (SELECT CAST(min(x) AS DOUBLE) AS lo, (CAST(max(x) AS DOUBLE) - CAST(min(x) AS DOUBLE)) / {bins} AS w
+                FROM {values}),
+        filled AS (SELECT CAST(least(floor((x - lo) / w), {bins - 1}) AS BIGINT) AS bin, count(*) AS n
+                   FROM (SELECT CAST(x AS DOUBLE) AS x FROM {values}) v CROSS JOIN r GROUP BY 1)
+        SELECT bin, round(lo + bin * w, 6) AS bin_low, round(lo + (bin + 1) * w, 6) AS bin_high, coalesce(n, 0) AS n
+        FROM (SELECT CAST(unnest(range({bins})) AS BIGINT) AS bin) b CROSS JOIN r LEFT JOIN filled USING (bin)""", *names)
 
 
 def _generated(level: str) -> str:
@@ -185,6 +184,8 @@ ALL: dict[str, str] = {
         SELECT CASE WHEN piece = 0 THEN 'a' ELSE 'b' END AS directory, count(*) AS n,
                CAST(sum(len(history)) AS BIGINT) AS items
         FROM pieces GROUP BY 1""", "pieces"),
+    "file_profile": _stats(
+        "SELECT len(arg_max(history, piece)) AS x FROM pieces GROUP BY user_id", "pieces"),
     "latest_partition": _sql("""
         SELECT event_id, item_id, CAST(day(ts) AS VARCHAR) AS day, 'name' AS rule FROM ev
         WHERE CAST(day(ts) AS VARCHAR) = (SELECT max(CAST(day(ts) AS VARCHAR)) FROM events)
@@ -243,15 +244,13 @@ ALL: dict[str, str] = {
     "batch_numbers": _sql("SELECT seq_id, batch_no FROM batches", "batches"),
     "history_length_stats": _stats("SELECT x FROM lengths", "lengths"),
     "unique_history_ratio": _sql("""
-        SELECT n_unique, n_all, round(n_unique::DOUBLE / n_all, 8) AS ratio,
-               n_unique || ' of ' || n_all || ' are unique' AS line
+        SELECT n_unique, n_all, round(n_unique::DOUBLE / n_all, 8) AS ratio
         FROM (SELECT count(*) AS n_all, count(DISTINCT history) AS n_unique FROM collected)""", "collected"),
     "unique_history_stats": _stats(
         "SELECT len(history) AS x FROM (SELECT DISTINCT history FROM collected)", "collected"),
     "unpadded_lengths": _stats("SELECT count(*) AS x FROM realv GROUP BY seq_id", "realv"),
     "channel_range": _sql("""
-        SELECT lo AS min_channel, hi AS max_channel,
-               printf('Channel data ranges from %.5f to %.5f', lo, hi) AS line FROM rng""", "rng"),
+        SELECT lo AS min_channel, hi AS max_channel FROM rng""", "rng"),
     "vector_sums": _sql("SELECT seq_id, pos, round(x, 6) AS channel_sum FROM sums", "sums"),
     "normalized_sums": _sql("""
         SELECT seq_id, pos, round(list_sum(list_transform(vec, lambda x: (x - lo) / (hi - lo))), 6) AS channel_sum
@@ -263,11 +262,10 @@ ALL: dict[str, str] = {
         b AS (SELECT lo, hi, CAST(ceil((hi - lo) / CASE WHEN iqr > 0
                   THEN least(2 * iqr / pow(n, 1.0::DOUBLE / 3), (hi - lo) / (log2(n) + 1))
                   ELSE (hi - lo) / (log2(n) + 1) END) AS BIGINT) AS bins FROM s)
-        SELECT bin, round(lo + bin * w, 6) AS bin_low, round(lo + (bin + 1) * w, 6) AS bin_high, count(*) AS n
-        FROM (SELECT lo, (hi - lo) / bins AS w,
-                     CAST(least(floor((x - lo) / ((hi - lo) / bins)), bins - 1) AS BIGINT) AS bin
-              FROM lengths CROSS JOIN b)
-        GROUP BY bin, lo, w""", "lengths"),
+        SELECT bin, round(lo + bin * w, 6) AS bin_low, round(lo + (bin + 1) * w, 6) AS bin_high, coalesce(n, 0) AS n
+        FROM (SELECT lo, (hi - lo) / bins AS w, unnest(range(bins)) AS bin FROM b)
+        LEFT JOIN (SELECT CAST(least(floor((x - lo) / ((hi - lo) / bins)), bins - 1) AS BIGINT) AS bin, count(*) AS n
+                   FROM lengths CROSS JOIN b GROUP BY 1) USING (bin)""", "lengths"),
     "unique_length_histogram": _histogram(
         "(SELECT len(history) AS x FROM (SELECT DISTINCT history FROM collected))", 10, "collected"),
     "unpadded_histogram": _histogram("(SELECT count(*) AS x FROM realv GROUP BY seq_id)", 10, "realv"),

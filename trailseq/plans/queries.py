@@ -53,13 +53,13 @@ def stream_collect(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "lookup-json")
-    json_lines.write_pairs(tables.lookup(spark, sf), path)
+    json_lines.write_pairs(tables.lookup(spark, sf), path, compression="gzip")
     return json_lines.read_lookup(spark, path, strict=True).select(
         "item_id", F.size("vec").alias("n"), _checksum("vec").alias("checksum"))
 
 
 def history_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Two directories of history files read as one table, the later file's row winning per reader."""
+    """Two directories of history files read as one table: rows and items per directory."""
     pieces = tables.reader_pieces(spark, sf).select(
         F.array("user_id").alias("user"), "history", F.when(F.col("piece") == 0, "a").otherwise("b").alias("part"))
     root = scratch_path(spark, "histories")
@@ -71,15 +71,25 @@ def history_files(spark: SparkSession, sf: str) -> DataFrame:
         F.count("*").alias("n"), F.sum(F.size("history")).cast("bigint").alias("items"))
 
 
+def file_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Lengths of histories read from a tree of files, the row of a reader's last file winning."""
+    pieces = tables.reader_pieces(spark, sf).select(
+        F.array("user_id").alias("_1"), F.col("history").alias("_2"),
+        F.lpad(F.col("piece").cast("string"), 9, "0").alias("part"))
+    root = scratch_path(spark, "history-files")
+    pieces.write.partitionBy("part").json(root)
+    return _stats(profile.history_length_stats(jobs.last_histories(spark, root)))
+
+
 def latest_partition(spark: SparkSession, sf: str) -> DataFrame:
     """Newest day directory by name (``9`` above ``10``) and by number."""
     path = scratch_path(spark, "days")
     days = tables.reading_events(spark, sf).select(
         "event_id", "item_id", F.dayofmonth("ts").cast("string").alias("day"))
     days.write.partitionBy("day").parquet(path)
-    stored = partitions.read_partitioned(spark, path, days.schema, "day")
-    by_name = partitions.latest_partition(stored, "day").withColumn("rule", F.lit("name"))
-    by_number = partitions.latest_partition(stored, "day", numeric=True).withColumn("rule", F.lit("number"))
+    by_name = partitions.read_latest(spark, path, days.schema, "day").withColumn("rule", F.lit("name"))
+    by_number = partitions.read_latest(spark, path, days.schema, "day", numeric=True).withColumn(
+        "rule", F.lit("number"))
     return by_name.unionByName(by_number)
 
 
@@ -247,7 +257,7 @@ def vector_sums(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalized_sums(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.normalized_sums(_stored_vectors(spark, sf)).withColumn(
+    return profile.normalized_sums(_real_vectors(spark, sf)).withColumn(
         "channel_sum", F.round("channel_sum", 6))
 
 
@@ -409,7 +419,7 @@ def gen_embedding(spark: SparkSession, sf: str) -> DataFrame:
 ALL: dict[str, Query] = {
     f.__name__: f for f in (
         decode_accuracy, collect_histories, user_fingerprint, distinct_histories, last_history_per_user,
-        stream_collect, json_roundtrip, history_files, latest_partition,
+        stream_collect, json_roundtrip, history_files, file_profile, latest_partition,
         feature_decode, distinct_items, lookup_left, lookup_table, resolve_histories,
         resolve_histories_padded,
         prepare_sequences, padding_mask, sequence_long, shifted_windows, short_windows, shifted_long, hash_split,

@@ -10,9 +10,15 @@ from trailseq.sources import schemas
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType,
-                    strict: bool = False, with_file: bool = False) -> DataFrame:
-    """One file, one directory (only its ``*.json`` files) or a list of them, never inferring a schema."""
-    reader = spark.read.schema(schema).option("pathGlobFilter", "*.json")
+                    strict: bool = False, with_file: bool = False, suffix: str | None = None) -> DataFrame:
+    """One file, one directory or a list of them, compressed or not, never inferring a schema.
+
+    ``suffix`` (such as ``.json``) leaves files with other names out. ``strict`` fails on a line that doesn't parse; otherwise
+    its columns are NULL.
+    """
+    reader = spark.read.schema(schema)
+    if suffix:
+        reader = reader.option("pathGlobFilter", f"*{suffix}")
     if strict:
         reader = reader.option("mode", "FAILFAST")
     df = reader.json(path)
@@ -26,14 +32,15 @@ def _pair_schema(schema: T.StructType) -> T.StructType:
 
 
 def read_pairs(spark: SparkSession, path: str | list[str], schema: T.StructType,
-               strict: bool = False, with_file: bool = False) -> DataFrame:
-    df = read_json_lines(spark, path, _pair_schema(schema), strict, with_file)
+               strict: bool = False, with_file: bool = False, suffix: str | None = None) -> DataFrame:
+    df = read_json_lines(spark, path, _pair_schema(schema), strict, with_file, suffix)
     renamed = [F.col(f"_{i + 1}").alias(field.name) for i, field in enumerate(schema.fields)]
     return df.select(*renamed, *(["file"] if with_file else []))
 
 
-def write_pairs(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.select(*[F.col(c).alias(f"_{i + 1}") for i, c in enumerate(df.columns)]).write.mode(mode).json(path)
+def write_pairs(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
+    df.select(*[F.col(c).alias(f"_{i + 1}") for i, c in enumerate(df.columns)]).write.mode(mode).json(
+        path, compression=compression)
 
 
 def read_histories(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
