@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailseq.functions import vectors
+from trailseq.functions.sequences import SEQ_LENGTH
 from trailseq.functions.vectors import DEFAULT_DIM
 from trailseq.operators import collect, evaluate, nearest, numbering, prepare, profile, resolve
 from trailseq.session import written_table
@@ -73,17 +75,17 @@ def profile_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM,
                       bins: int | str = 100) -> dict[str, DataFrame]:
     """The tables of the vector part of the profile, over a stored table with a ``value`` column."""
     counts = written_table(profile.unpadded_length_counts(sequences, dim), "unpadded")
-    vectors = profile.real_vectors(sequences, dim)
-    scaled = profile.normalized_vectors(vectors)
-    sums = written_table(profile.vector_sums(vectors), "sums")
-    scaled_sums = written_table(profile.vector_sums(scaled), "scaled-sums")
+    real = profile.real_vectors(sequences, dim)
+    scaled = profile.normalized_vectors(real)
+    sums = written_table(profile.vector_sums(real), "sums")
+    scaled_sums = profile.normalized_sums(real)
     tables = {
         "unpadded_stats": profile.stats_of_counts(counts),
         "unpadded_histogram": profile.histogram(counts, "length", "auto", n="n"),
         "unpadded_density": profile.kernel_density(counts, "length", n="n"),
-        "channel_range": profile.channel_range(vectors),
+        "channel_range": profile.channel_range(real),
     }
-    for name, rows, value in (("channel", profile.channels(vectors), "channel"),
+    for name, rows, value in (("channel", profile.channels(real), "channel"),
                               ("sum", sums, "channel_sum"),
                               ("normalized", profile.channels(scaled), "channel"),
                               ("normalized_sum", scaled_sums, "channel_sum")):
@@ -94,23 +96,35 @@ def profile_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM,
     return tables
 
 
-def scored_windows(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None) -> DataFrame:
+def _windows(prepared: DataFrame, decoder_length: int, normalize: bool) -> DataFrame:
+    """Shifted windows; ``normalize`` brings the model's inputs (not the target) to unit length."""
+    windows = prepare.shifted_windows(prepared, decoder_length)
+    if normalize:
+        windows = windows.withColumns({
+            c: F.transform(c, lambda v: vectors.l2_normalize(v)) for c in ("encoder", "source")})
+    return windows
+
+
+def scored_windows(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None,
+                   decoder_length: int = SEQ_LENGTH, inputs: tuple[str, ...] = ("source",),
+                   normalize: bool = False) -> DataFrame:
     """``seq_id``, ``prediction``, ``target`` from the given model or, without one, from the running mean."""
-    windows = prepare.shifted_windows(prepared)
-    if predictor is None:
-        scored = evaluate.mean_prediction(windows, dim)
-    else:
-        scored = evaluate.score_sequences(windows, predictor, dim=dim)
-    return scored.select("seq_id", "prediction", "target")
+    return evaluate.score_sequences(
+        _windows(prepared, decoder_length, normalize), predictor or evaluate.running_mean, length=decoder_length,
+        dim=dim, inputs=inputs).select("seq_id", "prediction", "target")
 
 
 def loss_by_batch(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None, batch_size: int = 256,
-                  kinds: tuple[str, ...] = ("weighted_rmse",), drop_last_row: bool = True) -> DataFrame:
+                  kinds: tuple[str, ...] = ("weighted_rmse",), drop_last_row: bool = True,
+                  decoder_length: int = SEQ_LENGTH, inputs: tuple[str, ...] = ("source",),
+                  normalize: bool = False) -> DataFrame:
     """Losses per batch of sequences in ``seq_id`` order.
 
     Each sequence is reduced to a few error sums where it is; only those are numbered and grouped.
     """
-    errors = evaluate.sequence_errors(scored_windows(prepared, dim, predictor), "seq_id", dim=dim)
+    errors = evaluate.window_errors(
+        _windows(prepared, decoder_length, normalize), predictor or evaluate.running_mean, length=decoder_length,
+        dim=dim, inputs=inputs, kinds=kinds)
     sums = tuple(c for c in errors.columns if c != "seq_id")
     batches = numbering.batch_numbers(
         errors, "seq_id", batch_size=batch_size, drop_last_row=drop_last_row, carry=sums)
@@ -118,17 +132,27 @@ def loss_by_batch(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None, b
 
 
 def decoded_items(prepared: DataFrame, lookup: DataFrame, dim: int = DEFAULT_DIM, predictor=None,
-                  **limits) -> DataFrame:
-    """Predicted and actual item of every target position."""
-    flat = evaluate.flatten_predictions(scored_windows(prepared, dim, predictor), "seq_id")
+                  decoder_length: int = SEQ_LENGTH, inputs: tuple[str, ...] = ("source",), normalize: bool = False,
+                  shrink: float | None = None, **limits) -> DataFrame:
+    """Predicted and actual item of every target position.
+
+    ``shrink`` sets predicted channels of at most that size to zero before decoding.
+    """
+    scored = scored_windows(prepared, dim, predictor, decoder_length, inputs, normalize)
+    flat = evaluate.flatten_predictions(scored, "seq_id")
+    if shrink is not None:
+        flat = flat.withColumn("prediction", vectors.hard_shrink("prediction", shrink))
     return nearest.nearest_items(
         flat, lookup, {"prediction": "pred_item", "target": "true_item"}, ["seq_id", "pos"], dim, **limits)
 
 
 def evaluate_job(prepared: DataFrame, lookup: DataFrame, dim: int = DEFAULT_DIM, predictor=None,
-                 batch_size: int = 256) -> dict[str, DataFrame]:
+                 batch_size: int = 256, decoder_length: int = SEQ_LENGTH, inputs: tuple[str, ...] = ("source",),
+                 normalize: bool = False, shrink: float | None = None) -> dict[str, DataFrame]:
+    """Loss and accuracy of a model. The options say what the model gets and what happens to its output."""
     stored = written_table(prepared, "evaluated")
+    shape = {"decoder_length": decoder_length, "inputs": inputs, "normalize": normalize}
     return {
-        "loss": evaluate.mean_loss(loss_by_batch(stored, dim, predictor, batch_size)),
-        "accuracy": evaluate.accuracy(decoded_items(stored, lookup, dim, predictor)),
+        "loss": evaluate.mean_loss(loss_by_batch(stored, dim, predictor, batch_size, **shape)),
+        "accuracy": evaluate.accuracy(decoded_items(stored, lookup, dim, predictor, shrink=shrink, **shape)),
     }

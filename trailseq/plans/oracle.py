@@ -317,6 +317,22 @@ ALL: dict[str, str] = {
     "score_sequences": _sql(f"""
         SELECT seq_id, pos, {_checksum('prediction')} AS checksum, {_checksum('target')} AS target
         FROM pairs""", "pairs"),
+    "score_encoder_decoder": _sql("""
+        , chan AS (SELECT seq_id, pos, is_pad, unnest(vec) AS x, generate_subscripts(vec, 1) AS c FROM prep),
+        enc AS (SELECT seq_id, c, avg(x) AS x FROM chan WHERE pos < 16 GROUP BY seq_id, c)
+        SELECT s.seq_id, s.pos - 1 AS pos, round(sum(s.c * CASE WHEN s.is_pad THEN enc.x ELSE s.x END), 6) AS checksum
+        FROM chan s JOIN enc ON enc.seq_id = s.seq_id AND enc.c = s.c
+        WHERE s.pos BETWEEN 1 AND 16 GROUP BY s.seq_id, s.pos""", "prep"),
+    "short_sequence_loss": _sql("""
+        , chan AS (SELECT seq_id, pos, unnest(vec) AS x, generate_subscripts(vec, 1) AS c FROM prep WHERE pos >= 13),
+        short AS (SELECT seq_id, pos, c, avg(x) OVER (PARTITION BY seq_id, c ORDER BY pos ROWS UNBOUNDED PRECEDING) AS x
+                  FROM chan WHERE pos <= 16),
+        err AS (SELECT s.seq_id, s.pos, sum((s.x - t.x) * (s.x - t.x)) AS sq
+                FROM short s JOIN chan t ON t.seq_id = s.seq_id AND t.c = s.c AND t.pos = s.pos + 1 GROUP BY 1, 2)
+        SELECT batch_no, round(sqrt(sum(sq) FILTER (WHERE pos < 16) / (64 * count(*) FILTER (WHERE pos < 16)) + 1e-6::DOUBLE)
+               + 1.3::DOUBLE * sqrt(sum(sq) FILTER (WHERE pos = 16) / (64 * count(*) FILTER (WHERE pos = 16)) + 1e-6::DOUBLE), 8)
+               AS weighted_rmse
+        FROM err JOIN batches USING (seq_id) GROUP BY batch_no""", "prep", "batches"),
     "sequence_loss": _sql("""
         SELECT count(*) AS batches, round(avg(weighted_rmse), 8) AS loss,
                round(exp(avg(weighted_rmse)), 8) AS perplexity FROM losses""", "losses"),

@@ -363,6 +363,24 @@ def score_sequences(spark: SparkSession, sf: str) -> DataFrame:
         "seq_id", "pos", _checksum("prediction").alias("checksum"), _checksum("target").alias("target"))
 
 
+def score_encoder_decoder(spark: SparkSession, sf: str) -> DataFrame:
+    """The hook with all inputs: where the decoder source is padding, the mean of the encoder source is predicted."""
+    def model(encoder, source, source_mask):
+        import numpy as np
+
+        return np.where(source_mask[:, :, None], encoder.mean(axis=1, keepdims=True), source)
+
+    scored = jobs.scored_windows(tables.prepared(spark, sf), DIM, model, inputs=evaluate.INPUTS)
+    return evaluate.flatten_predictions(scored, "seq_id").select(
+        "seq_id", "pos", _checksum("prediction").alias("checksum"))
+
+
+def short_sequence_loss(spark: SparkSession, sf: str) -> DataFrame:
+    """Losses of the running mean over decoder windows of length 4."""
+    losses = jobs.loss_by_batch(tables.prepared(spark, sf), DIM, batch_size=64, decoder_length=4)
+    return losses.select("batch_no", F.round("weighted_rmse", 8).alias("weighted_rmse"))
+
+
 def sequence_loss(spark: SparkSession, sf: str) -> DataFrame:
     losses = jobs.loss_by_batch(tables.prepared(spark, sf), DIM, batch_size=64)
     return evaluate.mean_loss(losses).select(
@@ -429,7 +447,7 @@ ALL: dict[str, Query] = {
         unpadded_histogram, channel_histogram,
         normalized_histogram, sum_histogram, length_kde, channel_kde,
         l2_normalize, hard_shrink, positional_features, first_channels,
-        mean_prediction, score_sequences, sequence_loss, sequence_loss_variants, nearest_item, exact_item,
+        mean_prediction, score_sequences, score_encoder_decoder, short_sequence_loss, sequence_loss, sequence_loss_variants, nearest_item, exact_item,
         gen_alternating, gen_uninteresting, gen_embedding,
     )
 }
