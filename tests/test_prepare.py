@@ -121,3 +121,35 @@ def test_prefix_split_rounds_down(spark):
     sizes = {r.split: (r.samples, r.batches) for r in numbering.split_sizes(
         numbering.prefix_split(spark.range(9), "id"), 3).collect()}
     assert sizes == {"train": (7, 2), "test": (2, 0)}
+
+
+def test_ids_first_equals_preparing_vectors(spark):
+    """Deciding on ids and attaching at most 18 vectors gives the rows of preparing resolved vectors."""
+    import random
+
+    from trailseq.functions.vectors import is_padding
+    from trailseq.operators import resolve
+
+    rng = random.Random(4)
+    lookup = [(i, [0.0, 0.0] if i % 4 == 0 else [float(i), 1.0]) for i in range(1, 30)] + [(99, [])]
+    histories = [([k], [rng.choice([*range(1, 34), 99]) for _ in range(rng.randrange(0, 45))]) for k in range(120)]
+    table = spark.createDataFrame(lookup, "item_id bigint, vec array<double>")
+    frame = spark.createDataFrame(histories, "user array<bigint>, history array<bigint>")
+    known = table.where(F.size("vec") > 0)
+    ids = prepare.prepare_ids(resolve.sequences_with_padding(frame, known.select("item_id", is_padding("vec", 2).alias("is_pad"))))
+    got = prepare.attach_vectors(ids, known, 2)
+    resolved = prepare.vectors_only(resolve.resolve_histories(frame, table)).drop("items")
+    want = prepare.prepare_sequences(resolved, 2)
+    rows = lambda df: sorted((r.seq_id, r.value, r["mask"], r.n_real) for r in df.select(
+        "seq_id", "value", "mask", "n_real").collect())
+    assert rows(got) == rows(want) and len(rows(got)) > 50
+    # what is collected and shuffled are ids and flags
+    text = ids.select("seq_id", prepare.hash_split("seq_id"))._jdf.queryExecution().optimizedPlan().toString()
+    collected = [line for line in text.splitlines() if "collect_list" in line]
+    assert collected and not any("vec" in line for line in collected)
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    rows = spark.createDataFrame([("a", [[1.0, 2.0], [1.0]])], "seq_id string, value array<array<double>>")
+    with pytest.raises(Exception, match="does not have length 2"):
+        prepare.prepare_sequences(rows, 2).collect()

@@ -18,7 +18,9 @@ def prepare_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM, length: int
     exactly ``length`` vectors. ``value`` is an array of vectors; other columns pass through. Adds ``mask``
     (true = padding) and ``n_real``.
     """
-    clipped = sequences.withColumn(value, S.take_last(value, length))
+    wrong = F.exists(value, lambda v: F.coalesce(F.size(v) != dim, F.lit(True)))
+    checked = F.when(wrong, F.raise_error(F.lit(f"a vector does not have length {dim}"))).otherwise(F.col(value))
+    clipped = sequences.withColumn(value, checked).withColumn(value, S.take_last(value, length))
     masked = clipped.withColumn("mask", S.padding_mask(value, dim))
     counted = masked.withColumn("n_real", S.count_real("mask")).where(F.col("n_real") >= min_real)
     stripped = (
@@ -31,6 +33,41 @@ def prepare_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM, length: int
     return stripped.drop("kept")
 
 
+def prepare_ids(sequences: DataFrame, length: int = S.INTERNAL_LENGTH, min_real: int = 2) -> DataFrame:
+    """The decisions of ``prepare_sequences`` on ids alone: ``seq_id``, ``items``, ``mask``, ``n_real``.
+
+    ``sequences`` has ``seq_id``, ``items`` and ``pads``, as ``resolve.sequences_with_padding`` gives them. ``items`` comes
+    out clipped and stripped, at most ``length`` of them; ``mask`` is that of the padded sequence. Whatever needs
+    no vector (numbering, splits, masks, lengths) works on this table.
+    """
+    clipped = sequences.select("seq_id", S.take_last("items", length).alias("items"), S.take_last("pads", length).alias("pads"))
+    counted = clipped.withColumn("n_real", S.count_real("pads")).where(F.col("n_real") >= min_real)
+    kept = counted.withColumn("kept", S.last_real_index("pads"))
+    return kept.select(
+        "seq_id", F.slice("items", F.lit(1), F.col("kept")).alias("items"),
+        F.concat(F.array_repeat(F.lit(True), F.lit(length) - F.col("kept")),
+                 F.slice("pads", F.lit(1), F.col("kept"))).alias("mask"),
+        "n_real")
+
+
+def attach_vectors(prepared: DataFrame, lookup: DataFrame, dim: int = DEFAULT_DIM,
+                   length: int = S.INTERNAL_LENGTH) -> DataFrame:
+    """``seq_id``, ``value``, ``mask``, ``n_real``: the vectors of prepared ids, padded on the left.
+
+    At most ``length`` vectors a sequence are joined and collected, however long its history was.
+    """
+    n = int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    items = prepared.repartition(n, "seq_id").select(
+        "seq_id", "mask", "n_real", F.posexplode("items").alias("pos", "item_id"))
+    return (
+        items.join(lookup.select("item_id", "vec"), "item_id", "left")
+        .groupBy("seq_id").agg(
+            F.sort_array(F.collect_list(F.struct("pos", "vec"))).alias("rows"),
+            F.any_value("mask").alias("mask"), F.any_value("n_real").alias("n_real"))
+        .select("seq_id", S.left_pad(F.col("rows.vec"), length, dim).alias("value"), "mask", "n_real")
+    )
+
+
 def vectors_only(resolved: DataFrame) -> DataFrame:
     """The bridge between resolving and preparing: pairs of id and vector become vectors."""
     return resolved.withColumn("value", S.vectors_of("value"))

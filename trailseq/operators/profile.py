@@ -55,6 +55,11 @@ def unique_history_stats(histories: DataFrame) -> DataFrame:
     return stats_of_counts(length_counts(histories.select("history").distinct()))
 
 
+def real_length_counts(prepared: DataFrame) -> DataFrame:
+    """``unpadded_length_counts`` of prepared sequences, from their ``n_real``; no vector is read."""
+    return prepared.groupBy(F.col("n_real").cast("bigint").alias("length")).agg(F.count("*").alias("n"))
+
+
 def unpadded_length_counts(sequences: DataFrame, dim: int) -> DataFrame:
     return length_counts(sequences, S.remove_padding("value", dim))
 

@@ -87,6 +87,22 @@ def _kept_items(histories: DataFrame, condition_side: DataFrame, how: str, min_i
     )
 
 
+def sequences_with_padding(histories: DataFrame, flags: DataFrame, min_items: int = MIN_RESOLVED) -> DataFrame:
+    """The sequences of ``resolve_histories`` without their vectors: ``seq_id``, ``items`` and ``pads``.
+
+    ``flags`` has ``item_id`` and ``is_pad`` (whether its vector is padding) of every item that has a vector.
+    """
+    items = _spread_items(histories.select("history").distinct(), "history")
+    return (
+        items.join(flags.select("item_id", "is_pad"), "item_id")
+        .groupBy("key").agg(_in_reading_order("item_id", "is_pad").alias("kept"))
+        .select(F.col("kept.item_id").alias("items"), F.col("kept.is_pad").alias("pads"))
+        .where(F.size("items") >= min_items)
+        .distinct()
+        .select(sequence_key("items").alias("seq_id"), "items", "pads")
+    )
+
+
 def _attach(sequences: DataFrame, lookup: DataFrame, vec: Column) -> DataFrame:
     """Vectors for distinct ``items`` lists; the one place where vectors move.
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailseq.functions.vectors import is_padding
 from trailseq.operators import collect, prepare, resolve
 
 DIM = 64
@@ -113,7 +114,12 @@ def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.resolve_histories(collected(spark, sf_dir), vectors(spark, sf_dir))
 
 
+def prepared_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``seq_id``, ``items`` (at most 18), ``mask``, ``n_real``; no vectors."""
+    flags = lookup(spark, sf_dir).select("item_id", is_padding("vec", DIM).alias("is_pad"))
+    return prepare.prepare_ids(resolve.sequences_with_padding(collected(spark, sf_dir), flags))
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``seq_id``, ``value`` (18 vectors), ``mask``, ``n_real``."""
-    sequences = prepare.vectors_only(resolved(spark, sf_dir)).drop("items")
-    return prepare.prepare_sequences(sequences, DIM)
+    return prepare.attach_vectors(prepared_ids(spark, sf_dir), lookup(spark, sf_dir), DIM)

@@ -165,9 +165,8 @@ def padding_mask(spark: SparkSession, sf: str) -> DataFrame:
     def bits(mask: Column | str) -> Column:
         return F.array_join(F.transform(mask, lambda m: F.when(m, "1").otherwise("0")), "")
 
-    prepared = tables.prepared(spark, sf).drop("mask").withColumn("mask", S.padding_mask("value", DIM))
-    return prepared.select("seq_id", bits("mask").alias("mask"),
-                           bits(S.decoder_mask("mask")).alias("source_mask"))
+    return tables.prepared_ids(spark, sf).select(
+        "seq_id", bits("mask").alias("mask"), bits(S.decoder_mask("mask")).alias("source_mask"))
 
 
 def sequence_long(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,14 +197,14 @@ def shifted_long(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
-    ready = tables.prepared(spark, sf).select("seq_id", "n_real", prepare.hash_split("seq_id").alias("split"))
+    ready = tables.prepared_ids(spark, sf).select("seq_id", "n_real", prepare.hash_split("seq_id").alias("split"))
     path = scratch_path(spark, "split")
     json_lines.write_split(ready, path)
     return spark.read.schema(ready.schema).parquet(path)
 
 
 def prefix_split(spark: SparkSession, sf: str) -> DataFrame:
-    return numbering.prefix_split(tables.prepared(spark, sf), "seq_id")
+    return numbering.prefix_split(tables.prepared_ids(spark, sf), "seq_id")
 
 
 def split_sizes(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,7 +212,7 @@ def split_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    return numbering.batch_numbers(tables.prepared(spark, sf), "seq_id", batch_size=64)
+    return numbering.batch_numbers(tables.prepared_ids(spark, sf), "seq_id", batch_size=64)
 
 
 # --- profile -------------------------------------------------------------------------------------------
@@ -235,7 +234,7 @@ def unique_history_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unpadded_lengths(spark: SparkSession, sf: str) -> DataFrame:
-    return _stats(profile.unpadded_length_stats(tables.prepared(spark, sf), DIM))
+    return _stats(profile.stats_of_counts(profile.real_length_counts(tables.prepared_ids(spark, sf))))
 
 
 def _real_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,7 +281,7 @@ def unique_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unpadded_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    counts = written_table(profile.unpadded_length_counts(tables.prepared(spark, sf), DIM), "lengths")
+    counts = written_table(profile.real_length_counts(tables.prepared_ids(spark, sf)), "lengths")
     return _bins(profile.histogram(counts, "length", 10, n="n"))
 
 
