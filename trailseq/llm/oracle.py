@@ -38,7 +38,48 @@ FROM marked GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
+REPEATS = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS p FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(p[i:i + 12], ' ') AS s
+    FROM (SELECT doc_id, p, unnest(range(1, greatest(len(p) - 11, 1))) AS i FROM w)),
+firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (
+    SELECT DISTINCT doc_id, i + k AS i
+    FROM windows JOIN firsts USING (s) CROSS JOIN (SELECT unnest(range(13)) AS k) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(p) AS word, generate_subscripts(p, 1) AS i FROM w),
+kept AS (
+    SELECT doc_id, count(*) AS n_removed_not, string_agg(word, ' ' ORDER BY i) AS kept
+    FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(p) AS n_words, len(p) - coalesce(n_removed_not, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+NEAR = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS p FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(p[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, p, unnest(range(1, greatest(len(p) - 3, 2))) AS i FROM w WHERE len(p) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes sa ON sa.doc_id = a.doc_id JOIN sizes sb ON sb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, sa.n, sb.n HAVING 100 * count(*) >= 75 * (sa.n + sb.n - count(*))),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
+LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+"""
+
 ALL: dict[str, str] = {
     "op2_deletion_neighbourhood": LINES,
     "op4_content_addressed_warc": WARC,
+    "op5_suffix_trees": REPEATS,
+    "op10_bbit_minhash": NEAR,
 }
