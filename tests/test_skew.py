@@ -33,3 +33,21 @@ def test_skewed_tables_match_sql(spark, skewed, name, broadcast):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert status == "ok" and n > 0
+
+
+def test_a_minute_with_a_third_of_all_events(spark, tmp_path):
+    """The minute is numbered in many slots, none of which holds more than a few hundredths of it."""
+    from trailseq.plans import driver_tables
+
+    source = check.connect(spark_entry.ENTRY_TABLES)
+    for name in check.TABLES:
+        body = f"SELECT * FROM {name}"
+        if name == "events":
+            body = """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-05 10:00:00'
+                             + to_microseconds(event_id * 7919 % 60000000) ELSE ts END AS ts,
+                             CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id, event_type, value, props FROM events"""
+        source.execute(f"COPY ({body}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    status, n, _, _ = check.compare(spark, check.connect(str(tmp_path)), "last_history_per_user", str(tmp_path))
+    assert status == "ok" and n > 0
+    ranks = driver_tables.numbered_events(spark, str(tmp_path)).where("user_id = 1")
+    assert ranks.count() == ranks.select("rank").distinct().count() == ranks.agg({"rank": "max"}).first()[0] + 1

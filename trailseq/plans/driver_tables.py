@@ -42,20 +42,32 @@ def reading_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their rank per reader, without sorting one reader's events in one task.
 
-    Ranks are counted inside a reader's minute and shifted by the number of events in earlier minutes,
-    which comes from one narrow row per reader and minute. A reader with a third of all events is spread
-    over all minutes of the period.
+    Ranks are counted inside a reader's 10 milliseconds and shifted by the number of earlier events of its second, by
+    those of earlier seconds of its day and by those of earlier days, all from narrow counts. Windows hold at most 100
+    slots of a second, 86,400 seconds of a day or one row per day, so neither a reader with a third of all
+    events nor a minute with a third of them is sorted in one task.
     """
-    events = reading_events(spark, sf_dir).withColumn(
-        "slot", F.expr("datediff(ts, date'1970-01-01') * 1440L + hour(ts) * 60 + minute(ts)"))
-    starts = events.groupBy("user_id", "slot").count().selectExpr(
-        "user_id AS reader", "slot AS at",
-        "coalesce(sum(count) OVER (PARTITION BY user_id ORDER BY slot"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start")
+    events = reading_events(spark, sf_dir).selectExpr(
+        "*", "datediff(ts, date'1970-01-01') AS day", "hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS sec",
+        "cast(floor((extract(SECOND FROM ts) - second(ts)) * 100) AS int) AS slot")
+    earlier = "coalesce(sum(n) OVER (PARTITION BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    slots = events.groupBy("user_id", "day", "sec", "slot").agg(F.count("*").alias("n")).selectExpr(
+        "*", f"{earlier.format('user_id, day, sec ORDER BY slot')} AS before")
+    seconds = slots.groupBy("user_id", "day", "sec").agg(F.sum("n").alias("n")).selectExpr(
+        "*", f"{earlier.format('user_id, day ORDER BY sec')} AS before_sec")
+    days = seconds.groupBy("user_id", "day").agg(F.sum("n").alias("n")).selectExpr(
+        "user_id", "day", f"{earlier.format('user_id ORDER BY day')} AS before_day")
+
+    def same(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
+        right = right.select(*[F.col(c).alias(f"__{c}") if c in keys else F.col(c) for c in right.columns])
+        on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys]
+        return left.join(right, on).drop(*(f"__{c}" for c in keys))
+
+    starts = same(same(slots.drop("n"), seconds.drop("n"), "user_id", "day", "sec"), days, "user_id", "day").selectExpr(
+        "user_id", "day", "sec", "slot", "before + before_sec + before_day AS start")
     ranked = events.selectExpr(
-        "*", "row_number() OVER (PARTITION BY user_id, slot ORDER BY ts, event_id) - 1 AS slot_rank")
-    same = F.col("user_id").eqNullSafe(F.col("reader")) & F.col("slot").eqNullSafe(F.col("at"))
-    return ranked.join(starts, same).selectExpr(
+        "*", "row_number() OVER (PARTITION BY user_id, day, sec, slot ORDER BY ts, event_id) - 1 AS slot_rank")
+    return same(ranked, starts, "user_id", "day", "sec", "slot").selectExpr(
         "user_id", "event_type", "value", "k", "item_id", "start + slot_rank AS rank")
 
 
@@ -75,14 +87,14 @@ def reader_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id``, ``piece``, ``event_type`` and the ``environment`` struct."""
-    attributes = {4: "n_click", 5: "n_error", 6: "n_purchase", 7: "n_signup", 15: "n_view",
-                  17: "min_k", 47: "max_k", 82: "user_id"}
-    ids = ", ".join(f"{code}, {name}" for code, name in attributes.items())
+    names = ("n_click", "n_error", "n_purchase", "n_signup", "n_view", "min_k", "max_k", "user_id")
+    ids = ", ".join(f"{code}, {name}" for code, name in zip(collect.ID_CODES, names, strict=True))
+    purchase, signup = collect.INTEGER_CODES
     return reader_pieces(spark, sf_dir).selectExpr(
         "user_id", "piece", "explode(types) AS event_type",
         f"""named_struct(
             'ids', map_filter(map({ids}), (k, v) -> v > 0),
-            'integers', map_filter(map(22, if(n_purchase > 0, top_value, NULL), 141, if(n_signup > 0, 1, NULL)),
+            'integers', map_filter(map({purchase}, if(n_purchase > 0, top_value, NULL), {signup}, if(n_signup > 0, 1, NULL)),
                                    (k, v) -> v IS NOT NULL),
             'lists', if(n_view > 0, map({collect.HISTORY_CODE}, cast(history AS array<int>)), map())
         ) AS environment""")

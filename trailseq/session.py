@@ -67,7 +67,25 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused between runs."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this application has written to the shared folder; for when its results have been stored.
+
+    DataFrames that were returned but not yet stored read these tables, so a job can't do it by itself. Returns
+    the number of tables deleted.
+    """
+    gone = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
 
 
 def written_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
