@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailseq.llm import decontaminate, langid, line_dedup, minhash, packing, queries
+from trailseq.llm import common, decontaminate, langid, line_dedup, minhash, packing, queries
 from trailseq.session import ship_package, written_table
 
 #: A text of whose 4-grams the best language knows less than this share is in none of the languages.
@@ -35,9 +35,9 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each component; rows without an id stay."""
     ship_package(spark)
-    dropped = minhash.near_duplicates(docs.select("doc_id", "text")).where(
-        "not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = written_table(minhash.near_duplicates(docs.select("doc_id", "text")).where(
+        "not kept and doc_id is not null").select("doc_id").distinct(), "dropped")
+    return docs.join(common.checked_side(dropped, minhash.BROADCAST_ROWS), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,9 @@ MARGIN = 0.16
 BLOCK = 64
 BUCKET_BLOCK = 512
 
+#: Classes with a shared bucket up to which their texts are picked out by a broadcast of their ids.
+BROADCAST_ROWS = 1_000_000
+
 _HASHES = BANDS * ROWS
 _SIGNATURE = _HASHES * BITS // 64
 _FIELDS = np.array([sum(1 << k for k in range(0, 64, BITS))], dtype=np.uint64)[0]
@@ -297,9 +300,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     centred = written_table(
         mates.join(centres, "bucket").join(degree.select(F.col("rep").alias("centre"), "degree"), "centre")
         .select("bucket", "rep", "centre", "degree"), "bucket-centres")
-    texts = narrow.where("doc_id is not null").join(
-        mates.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
-    texts = texts.dropDuplicates(["rep"])
+    mated = written_table(mates.select(F.col("rep").alias("doc_id")).distinct(), "mated")
+    texts = written_table(
+        narrow.join(common.checked_side(mated, BROADCAST_ROWS), "doc_id", "left_semi")
+        .withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "mated-texts")
 
     best = centred.groupBy("rep").agg(F.max(F.struct("degree", -F.col("centre")))["col2"].alias("c")).select(
         (-F.col("c")).alias("a"), F.col("rep").alias("b")).where("a != b")
