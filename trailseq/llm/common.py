@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -60,12 +61,14 @@ class Words:
         np.cumsum([len(t) + 1 for t in encoded], out=text_starts[1:])
         #: ``first[i]`` to ``first[i + 1]``: the words of text i.
         self.first = np.searchsorted(self.starts, text_starts)
-        self.hashes = self._digests(raw, word)
 
-    def _digests(self, raw: np.ndarray, word: np.ndarray) -> np.ndarray:
+    @functools.cached_property
+    def hashes(self) -> np.ndarray:
         lengths = self.ends - self.starts
         if not len(lengths):
             return np.zeros(0, dtype=np.uint64)
+        raw = np.frombuffer(self.data, dtype=np.uint8)
+        word = ~SPACE[raw]
         offsets = np.cumsum(lengths) - lengths
         inside = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(offsets, lengths)
         with np.errstate(over="ignore"):
@@ -76,16 +79,18 @@ class Words:
         """Digest of the n words from each position on, and whether these lie in one text."""
         size = len(self.hashes)
         digests = np.zeros(size, dtype=np.uint64)
-        whole = np.zeros(size, dtype=bool)
         if size >= n:
             with np.errstate(over="ignore"):
                 total = np.zeros(size - n + 1, dtype=np.uint64)
                 for k in range(n):
                     total = total * _STEP + self.hashes[k:size - n + 1 + k]
             digests[:size - n + 1] = mix(total)
-            ends = np.repeat(self.first[1:], np.diff(self.first))
-            whole = np.arange(size) + n <= ends
-        return digests, whole
+        return digests, self.whole(n)
+
+    def whole(self, n: int) -> np.ndarray:
+        """Whether the n words from each position on lie in one text."""
+        ends = np.repeat(self.first[1:], np.diff(self.first))
+        return np.arange(len(ends)) + n <= ends
 
     def text(self, i: int, j: int) -> str:
         """Words i to j (exclusive), joined by one space."""
