@@ -28,6 +28,9 @@ SLOTS = 1 << 20
 #: Bound on the label set; with 1 / MIN_SHARE members each it bounds what the driver gathers.
 MAX_LANGUAGES = 512
 
+#: Characters handled at a time; a 4-gram takes about 70 bytes of arrays.
+CHUNK_CHARS = 1_000_000
+
 _LETTER: np.ndarray | None = None
 
 
@@ -66,7 +69,7 @@ _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.chunks(batches):
+    for batch in common.chunks(batches, limit=CHUNK_CHARS):
         langs = np.array(common.column(batch, "lang"), dtype=object)
         value, owner, _ = grams(common.column(batch, "text"))
         of = langs[owner] if len(owner) else owner
@@ -145,7 +148,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
-        for batch in common.chunks(batches):
+        for batch in common.chunks(batches, limit=CHUNK_CHARS):
             texts = common.column(batch, "text")
             rates, has_letter = own.rates(texts)
             best = rates.argmax(axis=1) if own.languages else np.zeros(len(texts), dtype=int)

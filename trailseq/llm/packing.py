@@ -30,7 +30,7 @@ MIN_CUT = 16
 MERGED_PARTITIONS = 64
 END_ID = 1
 #: Words of a generation, and parts of words, whose ids a worker remembers; more begin a new generation.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 450_000
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint")
