@@ -1,4 +1,4 @@
-"""Line deduplication by deletion neighbourhoods, with an edit bound of one character.
+"""Line deduplication: exact repeats of any length, and deletion neighbourhoods with an edit bound of one character.
 
 Two lines are within one edit if and only if they are equal, or one is the other with a character deleted, or both
 become equal when the same position is deleted. So every line emits itself and all its deletions as hashed keys, equal
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from trailseq.llm import common
 from trailseq.session import written_table
 
-#: Shorter lines stay as they are.
+#: Shorter lines go only if they repeat exactly: one edit of them is often another word.
 LEAST_CHARS = 12
 #: Segments of the first and of the second round.
 COARSE, FINE = 2, 16
@@ -47,7 +47,9 @@ def _segment(line: Column, segments: int, q: Column, less: int) -> tuple[Column,
 
 
 def _coarse_keys(line: Column) -> Column:
-    return F.array(*(_segment(line, COARSE, F.lit(q), less)[0] for less in (0, 1) for q in range(COARSE)))
+    """NULL for lines that are compared for exact repeats only."""
+    return F.when(F.length(line) >= LEAST_CHARS, F.array(
+        *(_segment(line, COARSE, F.lit(q), less)[0] for less in (0, 1) for q in range(COARSE))))
 
 
 def _fine_segments(line: Column) -> Column:
@@ -61,11 +63,11 @@ def _fine_segments(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """at (doc_id, NULL last), text_key, pos and line of every line that is long enough to be compared."""
+    """at (doc_id, NULL last), text_key, pos and line of every line that isn't empty."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("at"), F.xxhash64("text").alias("text_key"),
         F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"),
-    ).where(F.length("line") >= LEAST_CHARS)
+    ).where(F.length("line") > 0)
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -117,11 +119,11 @@ def _partners(lines: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """Remove every line that has an earlier line, equal or within one edit, in any document.
+    """Remove every line that has an earlier line, equal or (from LEAST_CHARS characters on) within one edit.
 
     Earlier means a smaller doc_id (NULL last), or a smaller place in the same document; the earlier line counts
-    whether or not it stays itself. Lines end at line feeds; those under LEAST_CHARS characters stay. Rows that
-    repeat a document aren't earlier than each other. Returns the columns of ``docs`` with the new text, and
+    whether or not it stays itself. Lines end at line feeds; empty ones stay, and both lines of a pair within one edit
+    have LEAST_CHARS characters. Rows that repeat a document aren't earlier than each other. Returns the columns of ``docs`` with the new text, and
     n_lines and n_removed (both replaced if ``docs`` has them); a NULL text stays NULL, with 0 lines.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
@@ -133,7 +135,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         lines.groupBy("a", "b").agg(
             F.min(F.struct("at", "pos")).alias("first"), F.count("*").alias("n"),
             *(F.min(F.col("keys")[k]).alias(f"k{k}") for k in range(width))), "distinct-lines")
-    keys = distinct.select("a", "b", F.explode(F.array(*(f"k{k}" for k in range(width)))).alias("key"))
+    keys = distinct.where("k0 is not null").select("a", "b", F.explode(F.array(*(f"k{k}" for k in range(width)))).alias("key"))
     coarse = _shared(keys).select("a", "b").distinct()
     near = written_table(_fetch(docs, distinct.join(coarse, ["a", "b"]).select("a", "b", "first")), "near-lines")
     partners = _partners(near)
