@@ -84,3 +84,18 @@ def test_blocks_and_odd_rows(spark):
     assert decontaminate.clean(docs, benchmark).columns == docs.columns
     assert decontaminate.mark(odd.empty(spark), benchmark).count() == 0
     assert decontaminate.clean(docs, benchmark.where("false")).count() == len(odd.ROWS)
+
+
+def test_long_items_with_deleted_words_are_found():
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    for size in (30, 60, 120, 200, 400):
+        items = [[rng.choice(vocabulary) for _ in range(size)] for _ in range(25)]
+        texts = []
+        for item in items:
+            gone = set(rng.sample(range(size), decontaminate.allowed(size)))
+            texts.append(" ".join([rng.choice(vocabulary) for _ in range(50)]
+                                  + [w for k, w in enumerate(item) if k not in gone]
+                                  + [rng.choice(vocabulary) for _ in range(50)]))
+        found = decontaminate.Items(list(range(25)), [" ".join(i) for i in items]).search(texts)
+        assert [[f["item_id"] for f in of_text] for of_text in found] == [[k] for k in range(25)], size

@@ -7,6 +7,8 @@ repetition. An alignment of the item within the words around the window then giv
 
 Only windows that can reach the bound are embedded: an item cut into one more block than edits are allowed has an
 unchanged block in every such passage, so some 4 words of the item must be there at their place, give or take the edits.
+Candidates are aligned first. Samples miss pairs, the more the longer the item and the more of its edits are of one
+kind, so then every other such window is aligned as well, but of pairs found without an edit: none within the bound is missed.
 """
 
 from __future__ import annotations
@@ -25,8 +27,7 @@ from trailseq.llm import common
 SEED = 4
 #: Share of an item's words that may be edited (inserted, deleted or replaced).
 EDITS = 0.2
-#: Random walks, samples of each walk, and steps of a sample. A pair that differs in half of all steps still has
-#: a chance of 1 - (3 / 4) ** 32 = 0.9999 to agree in a sample.
+#: Random walks, samples of each walk, and steps of a sample. They choose what is aligned first, not what is found.
 WALKS = 4
 SAMPLES = 8
 STEPS = 2
@@ -112,15 +113,34 @@ class Items:
             order = np.argsort(flat, kind="stable")
             self.keys[size] = flat[order], of[order]
 
-    def windows(self, digests: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (size, start) of windows around words that agree with a seed."""
+    def hits(self, words: common.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (text, item, start) by seeds, where enough seeds of the item lie around for one within the bound."""
+        digests, whole = words.windows(SEED)
         at = np.flatnonzero(whole & self.filter[digests >> np.uint64(42)])
         low = np.searchsorted(self.seeds, digests[at], side="left")
         count = np.searchsorted(self.seeds, digests[at], side="right") - low
         hit = np.repeat(low, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        start = np.repeat(at, count) - self.offset[hit]
-        sizes = np.array([len(w) for w in self.words], dtype=np.int64)[self.owner[hit]]
-        pairs = np.unique(np.stack([sizes, start], axis=1), axis=0) if len(hit) else np.zeros((0, 2), dtype=np.int64)
+        at = np.repeat(at, count)
+        text, item = np.searchsorted(words.first, at, side="right") - 1, self.owner[hit]
+        start = at - self.offset[hit]
+        order = np.lexsort((start, item, text))
+        text, item, start = text[order], item[order], start[order]
+        # an edit changes at most SEED seeds, and seeds of one passage are at most twice the edits apart
+        sizes = np.array([len(w) for w in self.words], dtype=np.int64)[item]
+        slack = np.array([allowed(len(w)) for w in self.words], dtype=np.int64)[item]
+        need = np.maximum(sizes - SEED + 1 - SEED * slack, 1)
+        pair = np.cumsum(np.concatenate(([0], (np.diff(text) != 0) | (np.diff(item) != 0)))[:len(text)])
+        place = pair * (1 << 40) + start
+        around = (np.searchsorted(place, place + 2 * slack, side="right")
+                  - np.searchsorted(place, place - 2 * slack, side="left"))
+        kept = np.flatnonzero(around >= need)
+        kept = kept[np.concatenate(([True], np.diff(place[kept]) != 0))[:len(kept)]]
+        return text[kept], item[kept], start[kept]
+
+    def windows(self, items: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (size, start) of windows around the hits."""
+        sizes = np.array([len(w) for w in self.words], dtype=np.int64)[items]
+        pairs = np.unique(np.stack([sizes, starts], axis=1), axis=0)
         slack = np.array([allowed(s) for s in pairs[:, 0]], dtype=np.int64)
         spread = np.repeat(pairs, 2 * slack + 1, axis=0)
         within = np.arange(len(spread)) - np.repeat(np.cumsum(2 * slack + 1) - (2 * slack + 1), 2 * slack + 1)
@@ -132,8 +152,8 @@ class Items:
         """Items found in each text, each once, at its best place."""
         found: list[dict[int, dict]] = [{} for _ in texts]
         words = common.Words(texts, lower=True)
-        digests, whole = words.windows(SEED)
-        sizes, starts = self.windows(digests, whole)
+        hit_text, hit_item, hit_start = self.hits(words)
+        sizes, starts = self.windows(hit_item, hit_start)
         for size in np.unique(sizes):
             of_size = starts[sizes == size]
             # a window may hang over an end of its text by the allowed edits; it is moved inside
@@ -152,22 +172,27 @@ class Items:
             for row, column in zip(*np.nonzero(count)):
                 for k in range(low[row, column], low[row, column] + count[row, column]):
                     candidates.add((int(windows[row, 2]), int(owners[k]), int(windows[row, 0])))
-            self._verify(sorted(candidates), words, int(size), found)
+            self._verify(sorted(candidates), words, found)
+        rest = zip(hit_text.tolist(), hit_item.tolist(), hit_start.tolist())
+        self._verify([(t, i, s) for t, i, s in rest if found[t].get(i, {}).get("edits") != 0], words, found)
         return [[f[k] for k in sorted(f)] for f in found]
 
-    def _verify(self, candidates, words: common.Words, size: int, found: list[dict[int, dict]]) -> None:
-        slack, covered = allowed(size), {}
+    def _verify(self, candidates, words: common.Words, found: list[dict[int, dict]]) -> None:
+        """Align the sorted ``candidates`` (text, item, start); a passage starts at most the edits before or after."""
+        covered: dict[tuple[int, int], int] = {}
         for text, item, start in candidates:
+            size = len(self.words[item])
+            slack = allowed(size)
             first, last = int(words.first[text]), int(words.first[text + 1])
-            if covered.get((text, item), -1) >= min(last, start + size + slack):
+            if covered.get((text, item), -1) >= min(last, start + size + 2 * slack):
                 continue
             begin, end = max(first, start - slack), min(last, start + size + 4 * slack)
             covered[text, item] = end
             edits, at, length = align(self.words[item], words.hashes[begin:end])
+            place = {"item_id": self.ids[item], "start": begin - first + at, "length": length, "edits": edits}
             best = found[text].get(item)
-            if edits <= slack and (best is None or edits < best["edits"]):
-                found[text][item] = {"item_id": self.ids[item], "start": begin - first + at, "length": length,
-                                     "edits": edits}
+            if edits <= slack and (best is None or (edits, place["start"]) < (best["edits"], best["start"])):
+                found[text][item] = place
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
