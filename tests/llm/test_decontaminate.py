@@ -99,3 +99,21 @@ def test_long_items_with_deleted_words_are_found():
                                   + [rng.choice(vocabulary) for _ in range(50)]))
         found = decontaminate.Items(list(range(25)), [" ".join(i) for i in items]).search(texts)
         assert [[f["item_id"] for f in of_text] for of_text in found] == [[k] for k in range(25)], size
+
+
+def test_short_items_by_a_full_fifth_and_exactly_below_five_words():
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = [[rng.choice(vocabulary) for _ in range(size)] for size in range(1, 22) for _ in range(2)]
+    texts = []
+    for k in range(300):
+        item = rng.choice(items)
+        own = mutated(rng, item, rng.randrange(len(item) // 5 + 2), vocabulary)
+        around = [[rng.choice(vocabulary + ["x", "y", "z"]) for _ in range(rng.randrange(6))] for _ in range(2)]
+        texts.append(around[0] + own + around[1])
+    got = decontaminate.Items(list(range(len(items))), [" ".join(i) for i in items]).search([" ".join(t) for t in texts])
+    for text, found in zip(texts, got):
+        assert {f["item_id"]: f["edits"] for f in found} == {
+            k: e for k, item in enumerate(items) if (e := sellers(item, text)) <= len(item) // 5}
+    at_bound = {len(items[f["item_id"]]) for found in got for f in found if f["edits"] == len(items[f["item_id"]]) // 5}
+    assert at_bound >= {1, 2, 3, 5, 6, 7, 10, 11, 15}

@@ -6,7 +6,8 @@ repetition samples some steps; a window is a candidate for an item if all words
 repetition. An alignment of the item within the words around the window then gives the exact number of edits.
 
 Only windows that can reach the bound are embedded: an item cut into one more block than edits are allowed has an
-unchanged block in every such passage, so some 4 words of the item must be there at their place, give or take the edits.
+unchanged block in every such passage, so a seed of the item (4 words, or 1 to 3 where blocks are that short) must be
+there at its place, give or take the edits.
 Candidates are aligned first. Samples miss pairs, the more the longer the item and the more of its edits are of one
 kind, so then every other such window is aligned as well, but of pairs found without an edit: none within the bound is missed.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from trailseq.llm import common
 
-#: Words of a seed; items with fewer words aren't looked for.
+#: Words of a seed at most.
 SEED = 4
 #: Share of an item's words that may be edited (inserted, deleted or replaced).
 EDITS = 0.2
@@ -38,8 +39,13 @@ FOUND = "array<struct<item_id: bigint, start: bigint, length: bigint, edits: big
 
 
 def allowed(words: int) -> int:
-    """Edits allowed in an item of so many words: such that one of the unchanged blocks has a seed."""
-    return max(0, min(int(words * EDITS), words // SEED - 1))
+    """Edits allowed in an item of so many words."""
+    return int(words * EDITS)
+
+
+def seed_size(words: int) -> int:
+    """Words of a seed of an item of so many words: such that one of the unchanged blocks has a seed."""
+    return min(SEED, words // (allowed(words) + 1))
 
 
 def walk(windows: np.ndarray, seed: int) -> np.ndarray:
@@ -98,15 +104,21 @@ class Items:
         words = common.Words(texts, lower=True)
         self.words = [words.hashes[a:b] for a, b in zip(words.first, words.first[1:])]
         self.ids = ids
-        seeds, whole = words.windows(SEED)
-        owner = np.repeat(np.arange(len(ids)), np.diff(words.first))
-        offset = np.arange(len(seeds)) - words.first[owner]
-        order = np.argsort(seeds[whole], kind="stable")
-        self.seeds, self.owner, self.offset = (x[whole][order] for x in (seeds, owner, offset))
-        self.filter = np.zeros(1 << 22, dtype=bool)
-        self.filter[self.seeds >> np.uint64(42)] = True
+        self.sizes = np.diff(words.first)
+        self.slack = np.array([allowed(n) for n in self.sizes.tolist()], dtype=np.int64)
+        self.seed = np.array([seed_size(n) for n in self.sizes.tolist()], dtype=np.int64)
+        owner = np.repeat(np.arange(len(ids)), self.sizes)
+        #: By words of a seed: sorted seeds, item and offset of each, and which upper bits they have.
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n in sorted({n for n in self.seed.tolist() if n}):
+            seeds, whole = words.windows(n)
+            at = np.flatnonzero(whole & (self.seed[owner] == n))
+            at = at[np.argsort(seeds[at], kind="stable")]
+            known = np.zeros(1 << 22, dtype=bool)
+            known[seeds[at] >> np.uint64(42)] = True
+            self.seeds[n] = seeds[at], owner[at], at - words.first[owner[at]], known
         self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by size: sorted sample keys, item of each
-        for size in {len(w) for w in self.words if len(w) >= SEED}:
+        for size in {len(w) for w in self.words if len(w)}:
             own = np.array([k for k, w in enumerate(self.words) if len(w) == size])
             keys = sample_keys(np.stack([self.words[k] for k in own]))
             flat, of = keys.reshape(-1), np.repeat(own, keys.shape[1])
@@ -115,20 +127,21 @@ class Items:
 
     def hits(self, words: common.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (text, item, start) by seeds, where enough seeds of the item lie around for one within the bound."""
-        digests, whole = words.windows(SEED)
-        at = np.flatnonzero(whole & self.filter[digests >> np.uint64(42)])
-        low = np.searchsorted(self.seeds, digests[at], side="left")
-        count = np.searchsorted(self.seeds, digests[at], side="right") - low
-        hit = np.repeat(low, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        at = np.repeat(at, count)
-        text, item = np.searchsorted(words.first, at, side="right") - 1, self.owner[hit]
-        start = at - self.offset[hit]
+        found = [np.zeros((3, 0), dtype=np.int64)]
+        for n, (seeds, owner, offset, known) in self.seeds.items():
+            digests, whole = words.windows(n)
+            at = np.flatnonzero(whole & known[digests >> np.uint64(42)])
+            low = np.searchsorted(seeds, digests[at], side="left")
+            count = np.searchsorted(seeds, digests[at], side="right") - low
+            hit = np.repeat(low, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            at = np.repeat(at, count)
+            found.append(np.stack([np.searchsorted(words.first, at, side="right") - 1, owner[hit], at - offset[hit]]))
+        text, item, start = np.concatenate(found, axis=1)
         order = np.lexsort((start, item, text))
         text, item, start = text[order], item[order], start[order]
-        # an edit changes at most SEED seeds, and seeds of one passage are at most twice the edits apart
-        sizes = np.array([len(w) for w in self.words], dtype=np.int64)[item]
-        slack = np.array([allowed(len(w)) for w in self.words], dtype=np.int64)[item]
-        need = np.maximum(sizes - SEED + 1 - SEED * slack, 1)
+        # an edit changes at most as many seeds as one has words, and seeds of one passage are at most twice the edits apart
+        slack, seed = self.slack[item], self.seed[item]
+        need = np.maximum(self.sizes[item] - seed + 1 - seed * slack, 1)
         pair = np.cumsum(np.concatenate(([0], (np.diff(text) != 0) | (np.diff(item) != 0)))[:len(text)])
         place = pair * (1 << 40) + start
         around = (np.searchsorted(place, place + 2 * slack, side="right")
@@ -139,8 +152,7 @@ class Items:
 
     def windows(self, items: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (size, start) of windows around the hits."""
-        sizes = np.array([len(w) for w in self.words], dtype=np.int64)[items]
-        pairs = np.unique(np.stack([sizes, starts], axis=1), axis=0)
+        pairs = np.unique(np.stack([self.sizes[items], starts], axis=1), axis=0)
         slack = np.array([allowed(s) for s in pairs[:, 0]], dtype=np.int64)
         spread = np.repeat(pairs, 2 * slack + 1, axis=0)
         within = np.arange(len(spread)) - np.repeat(np.cumsum(2 * slack + 1) - (2 * slack + 1), 2 * slack + 1)
@@ -173,16 +185,17 @@ class Items:
                 for k in range(low[row, column], low[row, column] + count[row, column]):
                     candidates.add((int(windows[row, 2]), int(owners[k]), int(windows[row, 0])))
             self._verify(sorted(candidates), words, found)
-        rest = zip(hit_text.tolist(), hit_item.tolist(), hit_start.tolist())
-        self._verify([(t, i, s) for t, i, s in rest if found[t].get(i, {}).get("edits") != 0], words, found)
+        self._verify(zip(hit_text.tolist(), hit_item.tolist(), hit_start.tolist()), words, found)
         return [[f[k] for k in sorted(f)] for f in found]
 
     def _verify(self, candidates, words: common.Words, found: list[dict[int, dict]]) -> None:
         """Align the sorted ``candidates`` (text, item, start); a passage starts at most the edits before or after."""
         covered: dict[tuple[int, int], int] = {}
         for text, item, start in candidates:
-            size = len(self.words[item])
-            slack = allowed(size)
+            best = found[text].get(item)
+            if best and best["edits"] == 0:  # the first, as candidates are sorted
+                continue
+            size, slack = int(self.sizes[item]), int(self.slack[item])
             first, last = int(words.first[text]), int(words.first[text + 1])
             if covered.get((text, item), -1) >= min(last, start + size + 2 * slack):
                 continue
@@ -190,7 +203,6 @@ class Items:
             covered[text, item] = end
             edits, at, length = align(self.words[item], words.hashes[begin:end])
             place = {"item_id": self.ids[item], "start": begin - first + at, "length": length, "edits": edits}
-            best = found[text].get(item)
             if edits <= slack and (best is None or (edits, place["start"]) < (best["edits"], best["start"])):
                 found[text][item] = place
 
@@ -199,8 +211,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
     """All rows of ``docs`` with ``found``: benchmark items (item_id, start, length, edits) that the text contains.
 
     ``start`` and ``length`` are in words (split at ASCII white space, A-Z lowered); an item is listed once, at the
-    place with the fewest edits. Items without a text or an id, or of under SEED words, are in no document. Items that
-    repeat are listed by each id. The benchmark is searched for in blocks of about ``block_chars`` characters, a pass
+    place with the fewest edits. Items without a word or an id are in no document; those of under 5 words must be there
+    without an edit. Items that repeat are listed by each id. The benchmark is searched for in blocks of about ``block_chars`` characters, a pass
     over the documents each, so what is broadcast doesn't grow. A NULL text contains nothing; a column named
     found is replaced.
     """
