@@ -15,12 +15,13 @@ def distance(a, b):
 
 
 def brute(docs):
+    """What stays of every text: lines go that equal an earlier line, or are long enough and within one edit of one."""
     lines = [(i, k, line) for i, t in docs for k, line in enumerate((t or "").split("\n")) if t is not None]
-    out = {}
+    least, out = line_dedup.LEAST_CHARS, {}
     for i, k, line in lines:
-        gone = len(line) >= line_dedup.LEAST_CHARS and any(
-            (i2, k2) < (i, k) and len(other) >= line_dedup.LEAST_CHARS and abs(len(other) - len(line)) < 2
-            and distance(other, line) <= 1 for i2, k2, other in lines)
+        gone = any((i2, k2) < (i, k) and (other == line != "" or (
+            min(len(line), len(other)) >= least and abs(len(other) - len(line)) < 2 and distance(other, line) <= 1))
+            for i2, k2, other in lines)
         out.setdefault(i, []).append(None if gone else line)
     return {i: "\n".join(x for x in parts if x is not None) for i, parts in out.items()}
 
@@ -61,24 +62,12 @@ def test_odd_rows(spark):
     assert line_dedup.dedup_lines(odd.empty(spark)).count() == 0
 
 
-def whole_brute(docs):
-    """As ``brute``, but short lines go as well if they repeat exactly; only empty ones always stay."""
-    lines = [(i, k, line) for i, t in docs for k, line in enumerate(t.split("\n"))]
-    least, out = line_dedup.LEAST_CHARS, {}
-    for i, k, line in lines:
-        gone = any((i2, k2) < (i, k) and (other == line != "" or (
-            min(len(line), len(other)) >= least and abs(len(other) - len(line)) < 2 and distance(other, line) <= 1))
-            for i2, k2, other in lines)
-        out.setdefault(i, []).append(None if gone else line)
-    return {i: "\n".join(x for x in parts if x is not None) for i, parts in out.items()}
-
-
 def test_short_lines_go_only_if_they_repeat_exactly(spark):
     rng = random.Random(5)
     base = ["Les.", "Let.", "a", " ", "", "elevenchars", "twelve chars", "twelve char"]
     docs = [(i, "\n".join(rng.choice(base) for _ in range(rng.randrange(1, 4)))) for i in range(12)]
     docs += [(19, "twelve chars"), (20, "new\nnew\n\n\nnews"), (21, "twelve chart"), (22, "elevenchar")]
     got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
-    assert {i: r.text for i, r in got.items()} == whole_brute(docs)
+    assert {i: r.text for i, r in got.items()} == brute(docs)
     assert (got[20].text, got[20].n_removed) == ("new\n\n\nnews", 1)
     assert got[21].n_removed == 1 and got[22].n_removed == 0

@@ -17,16 +17,16 @@ WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents),
 lines AS (
     SELECT doc_id, i - 1 AS pos, p[i] AS line, doc_id * 1000000 + i - 1 AS place
     FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM parts)),
-firsts AS (SELECT line, min(place) AS first FROM lines WHERE length(line) >= 12 GROUP BY line),
+firsts AS (SELECT line, min(place) AS first FROM lines WHERE length(line) > 0 GROUP BY line),
 deletions AS (
     SELECT line, first, i, substring(line, 1, i - 1) || substring(line, i + 1) AS rest
-    FROM (SELECT line, first, unnest(range(1, length(line) + 1)) AS i FROM firsts)),
+    FROM (SELECT line, first, unnest(range(1, length(line) + 1)) AS i FROM firsts WHERE length(line) >= 12)),
 replaced AS (SELECT rest, i, min(first) AS other FROM deletions GROUP BY rest, i),
 longer AS (SELECT rest, min(first) AS other FROM deletions GROUP BY rest),
 others AS (
     SELECT d.line, r.other FROM deletions d JOIN replaced r ON d.rest = r.rest AND d.i = r.i
-    UNION ALL SELECT d.line, f.first FROM deletions d JOIN firsts f ON d.rest = f.line
-    UNION ALL SELECT f.line, l.other FROM firsts f JOIN longer l ON f.line = l.rest
+    UNION ALL SELECT d.line, f.first FROM deletions d JOIN firsts f ON d.rest = f.line AND length(f.line) >= 12
+    UNION ALL SELECT f.line, l.other FROM firsts f JOIN longer l ON f.line = l.rest AND length(f.line) >= 12
     UNION ALL SELECT line, first FROM firsts),
 earliest AS (SELECT line, min(other) AS earliest FROM others GROUP BY line),
 marked AS (
