@@ -15,13 +15,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_every_operator_is_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(oracle.ALL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = con.execute(oracle.ALL[name])
     columns = [c[0] for c in found.description]

@@ -77,9 +77,75 @@ FROM documents d JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROU
 LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 """
 
+NEGATIVES = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same,
+           CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+    FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+AUDIT = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+flags AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * length(d.text) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN d.doc_id > first THEN 'E' ELSE '' END AS failed
+    FROM d JOIN firsts USING (text) LEFT JOIN flags USING (doc_id)),
+counts AS (
+    SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM f GROUP BY part, failed),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders),
+walked AS (
+    SELECT part, filter_order, step, filter_order[step] AS filter,
+           CAST(sum(n) FILTER (hit = 0 OR hit > step) AS BIGINT) AS kept,
+           CAST(sum(n) FILTER (hit = step) AS BIGINT) AS removed,
+           CAST(sum(n) FILTER (hit < step AND contains(failed, filter_order[step])) AS BIGINT) AS redundant,
+           CAST(sum(n) FILTER (failed = filter_order[step]) AS BIGINT) AS unique_fails,
+           CAST(sum(good) FILTER (hit = step) AS BIGINT) AS good_lost,
+           CAST(sum(toxic) FILTER (hit = step) AS BIGINT) AS toxic_lost
+    FROM (SELECT counts.*, steps.*,
+                 list_min([instr(filter_order, y) for y in regexp_extract_all(failed, '.')]) AS first_hit,
+                 coalesce(first_hit, 0) AS hit
+          FROM counts, steps)
+    GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed,
+       coalesce(redundant, 0) AS redundant, coalesce(unique_fails, 0) AS unique_fails,
+       coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, filter), 0) AS BIGINT) AS shapley
+FROM walked
+"""
+
 ALL: dict[str, str] = {
     "op2_deletion_neighbourhood": LINES,
     "op4_content_addressed_warc": WARC,
     "op5_suffix_trees": REPEATS,
     "op10_bbit_minhash": NEAR,
+    "op12_slot_negatives": NEGATIVES,
+    "op13_potential_audit": AUDIT,
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailseq.llm import common, decontaminate, doc_fingerprint, hmm, langid, line_dedup, minhash, packing, pii, substring_dedup, warc
+from trailseq.llm import common, decontaminate, doc_fingerprint, filter_audit, hard_negatives, hmm, langid, line_dedup, minhash, mixing, packing, pii, substring_dedup, warc
+
+from trailseq.session import written_table
 
 
 def tokenizer_path() -> str:
@@ -73,6 +75,26 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(common.table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh vector has another label than the table says."""
+    embeddings = common.table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = written_table(hard_negatives.quantized(embeddings.withColumn("label", label)), "quantized")
+    return hard_negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every source, in all their orders."""
+    return filter_audit.audit(filter_audit.failures(
+        common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")))
+
+
 ALL = {
     "op1_bootstrapped_pii": personal_data,
     "op2_deletion_neighbourhood": lines_deduplicated,
@@ -84,4 +106,7 @@ ALL = {
     "op8_hidden_markov": text_likelihood,
     "op9_bounded_packing": packed_sequences,
     "op10_bbit_minhash": near_duplicates,
+    "op11_entropy_balancing": source_mixture,
+    "op12_slot_negatives": hard_negative_mining,
+    "op13_potential_audit": filter_interactions,
 }
