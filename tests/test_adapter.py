@@ -1,0 +1,88 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from trailseq.operators import numbering, profile, resolve
+from trailseq.sources import schemas
+
+
+def test_ranks_of_hot_keys_over_many_partitions(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([7] * 6 + [1, 2, 3, None]), rng.randrange(40), k) for k in range(900)]
+    frame = spark.createDataFrame(rows, "user bigint, ts bigint, id bigint").repartition(3)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = numbering.ranks_within(frame, "user", "ts", "id", carry=("id",)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    want = {}
+    for user in {r[0] for r in rows}:
+        own = sorted((ts, k) for u, ts, k in rows if u == user)
+        want |= {k: n for n, (_, k) in enumerate(own)}
+    assert {r.id: r["rank"] for r in got} == want
+    empty = numbering.ranks_within(frame.where("false"), "user", "ts", "id")
+    assert empty.count() == 0 and empty.columns == ["user", "rank"]
+
+
+def features(spark, n, broken=()):
+    return spark.range(n).select(F.col("id").alias("item_id"), F.create_map(F.lit("bert"), F.when(
+        F.col("id").isin(*broken), F.lit("not numbers")).otherwise(F.format_string("[%d.0]", "id"))).alias("features"))
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_only_occurring_features_are_parsed(spark, monkeypatch, limit):
+    """Records that would fail to parse prove it: joined by broadcast, or behind the filter and a shuffle."""
+    monkeypatch.setattr(resolve, "BROADCAST_ITEMS", limit)
+    histories = spark.createDataFrame([([1], [3, 5, 8]), ([2], [5, 700])], schemas.USER_HISTORY)
+    table = features(spark, 600, broken=[4, 6, 599])
+    got = resolve.lookup_of_features(histories, table).collect()
+    assert sorted((r.item_id, r.vec) for r in got) == [(3, [3.0]), (5, [5.0]), (8, [8.0])]
+    with pytest.raises(Exception, match="not an array of numbers"):
+        resolve.decode_features(table).collect()
+    none = histories.where("false")
+    assert resolve.lookup_of_features(none, table).count() == 0
+
+
+def test_filter_holds_all_members_and_few_others(spark):
+    members = spark.range(0, 4000, 4).select(F.col("id").alias("item_id"))
+    bits = 1 << 14
+    words = resolve.bloom_filter(members, "item_id", bits)
+    passed = {r.item_id for r in spark.range(4000).select(F.col("id").alias("item_id")).where(
+        resolve.might_contain(words, "item_id", bits)).collect()}
+    assert set(range(0, 4000, 4)) <= passed and len(passed) < 1000 + 3000 * 0.02
+    null = spark.range(1).select(F.lit(None).cast("bigint").alias("item_id"))
+    assert null.where(resolve.might_contain(words, "item_id", bits)).count() == 0
+
+
+def test_feature_is_parsed_once(spark):
+    plan = resolve.decode_features(features(spark, 5)).where(F.size("vec") > 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize("lengths", [(3,), (0, 1, 5)])
+def test_vector_histograms_against_the_plain_ones(spark, lengths):
+    rng = random.Random(8)
+    rows = [(k, [rng.choice([-2.5, 0.0, 0.1, 0.3, 7.0, rng.random()]) for _ in range(rng.choice(lengths))]) for k in range(300)]
+    rows += [(900, None)]
+    vectors = spark.createDataFrame(rows, "k bigint, vec array<double>").repartition(3)
+    got = profile.vector_histograms(vectors, 13)
+    scaled = profile.normalized_vectors(vectors)
+    plain = {"channel": (profile.channels(vectors), "channel"), "normalized": (profile.channels(scaled), "channel"),
+             "sum": (profile.vector_sums(vectors.where("vec is not null")), "channel_sum"),
+             "normalized_sum": (profile.normalized_sums(vectors.where("vec is not null")), "channel_sum")}
+    assert set(got) == set(plain)
+    for kind, (table, column) in plain.items():
+        want = sorted(map(tuple, profile.histogram(table, column, 13).collect()))
+        found = sorted(map(tuple, got[kind].collect()))
+        assert [(r[0], r[3]) for r in found] == [(r[0], r[3]) for r in want], kind
+        assert [x for r in found for x in r] == pytest.approx([x for r in want for x in r])
+
+
+def test_histograms_of_nothing_and_of_one_value(spark):
+    empty = spark.createDataFrame([], "vec array<double>")
+    assert all(h.count() == 0 for h in profile.vector_histograms(empty, 4).values())
+    same = profile.vector_histograms(spark.createDataFrame([([2.0, 2.0],)] * 3, "vec array<double>"), 4)
+    assert [r.n for r in same["channel"].orderBy("bin").collect()] == [0, 0, 6, 0]
+    assert same["normalized"].count() == 0  # a range of zero width scales nothing

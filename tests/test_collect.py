@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from trailseq.operators import collect
 from trailseq.plans import jobs
-from trailseq.sources import json_lines, schemas
+from trailseq.sources import json_lines, publish, schemas
 from trailseq.streaming import collector
 
 
@@ -73,4 +73,5 @@ def test_stream_plan_has_no_state_and_no_shuffle(spark, tmp_path):
         fmt="parquet", available_now=True)
     query.awaitTermination()
     assert query.lastProgress["stateOperators"] == []
-    assert collected_rows(spark.read.schema(schemas.USER_HISTORY).parquet(str(tmp_path / "out"))) == EXPECTED
+    assert collected_rows(spark.read.schema(schemas.USER_HISTORY).parquet(
+        *publish.data_paths(spark, str(tmp_path / "out")))) == EXPECTED

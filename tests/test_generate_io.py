@@ -109,8 +109,9 @@ def test_jobs_on_files_end_to_end(spark, tmp_path):
     expected = {h for h in expected if len(h) > 2}
     resolved = json_lines.read_resolved(spark, str(tmp_path / "resolved"))
     assert sorted(tuple(e.item_id for e in r.value) for r in resolved.collect()) == sorted(expected)
+    version, = (tmp_path / "split" / "_versions").iterdir()
     parts = [json_lines.read_values(spark, str(tmp_path / "split" / f"split={s}")).collect()
-             for s in ("train", "validation") if (tmp_path / "split" / f"split={s}").exists()]
+             for s in ("train", "validation") if (version / f"split={s}").exists()]
     rows = [r for p in parts for r in p]
     assert len(rows) == len(expected) and all(len(r.value) == 18 for r in rows)
 

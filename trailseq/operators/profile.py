@@ -6,6 +6,11 @@ tables with one row per distinct length instead of one per history.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,6 +113,116 @@ def channels(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.explode("vec").alias("channel"))
 
 
+#: Numbers a task works on at a time.
+CHUNK_NUMBERS = 1 << 20
+
+#: What can be binned: every channel or the sum of a vector's channels, as it is or after min-max scaling of all channels.
+VECTOR_PROFILES = ("channel", "sum", "normalized", "normalized_sum")
+
+
+def _flat_vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All channels of a batch, and the number of channels of each vector that isn't NULL. NULL channels are left out of both."""
+    column = column.drop_null()
+    values = column.flatten()
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    if values.null_count:
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        present = values.is_valid().to_numpy(zero_copy_only=False)
+        lengths = np.bincount(owner[present], minlength=len(lengths))
+        values = values.drop_null()
+    return values.to_numpy(zero_copy_only=False), lengths
+
+
+def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sum of each vector, added from the first channel to the last; 0.0 when empty."""
+    total = np.zeros(len(lengths))
+    first = np.cumsum(lengths) - lengths
+    for k in range(int(lengths.max(initial=0))):
+        longer = lengths > k
+        total[longer] += values[first[longer] + k]
+    return total
+
+
+def _profiled(values: np.ndarray, lengths: np.ndarray, low: float, high: float, kinds: tuple[str, ...]):
+    """(kind, numbers) of one batch; a range of zero width leaves nothing to scale."""
+    span = high - low
+    sums = _sums(values, lengths) if any("sum" in k for k in kinds) else None
+    for kind in kinds:
+        if kind == "channel":
+            yield kind, values
+        elif kind == "sum":
+            yield kind, sums
+        elif span > 0:
+            yield kind, (values - low) / span if kind == "normalized" else (sums - lengths * low) / span
+
+
+def _binned(numbers: np.ndarray, low: float, width: float, bins: int) -> np.ndarray:
+    place = np.minimum(np.floor((numbers - low) / width), bins - 1).astype(np.int64)
+    return np.bincount(place, minlength=bins)
+
+
+def vector_histograms(vectors: DataFrame, bins: int, kinds: tuple[str, ...] = VECTOR_PROFILES) -> dict[str, DataFrame]:
+    """Histograms of ``vec``, each as ``histogram`` would give it, from two scans for all ``kinds`` together.
+
+    The first scan finds ranges; those of scaled numbers follow from them, or for scaled sums of vectors of several
+    lengths from a scan in between. The second counts the bins of a task in arrays, so that a task sends
+    one row per kind and bin, whatever it has read. Vectors should be stored, as they are read twice.
+    """
+    vectors = vectors.select("vec")
+
+    def extremes(low: float, high: float, kinds: tuple[str, ...]) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: dict[str, list[float]] = {}
+            for batch in batches:
+                values, lengths = _flat_vectors(batch.column(0))
+                for kind, numbers in _profiled(values, lengths, low, high, kinds):
+                    if len(numbers):
+                        ends = found.setdefault(kind, [np.inf, -np.inf])
+                        ends[:] = min(ends[0], float(numbers.min())), max(ends[1], float(numbers.max()))
+            yield pa.RecordBatch.from_pydict({
+                "kind": pa.array(list(found), pa.string()), "low": pa.array([e[0] for e in found.values()], pa.float64()),
+                "high": pa.array([e[1] for e in found.values()], pa.float64())})
+        return run
+
+    def ranges(low: float, high: float, kinds: tuple[str, ...]) -> dict[str, tuple[float, float]]:
+        found = vectors.mapInArrow(extremes(low, high, kinds), "kind string, low double, high double").groupBy("kind").agg(
+            F.min("low").alias("low"), F.max("high").alias("high"))
+        return {r["kind"]: (r["low"], r["high"]) for r in found.collect()}
+
+    plain = tuple(k for k in ("channel", "sum") if k in kinds or k == "channel")
+    edges = ranges(0.0, 0.0, plain)
+    low, high = edges.get("channel", (0.0, 0.0))
+    if high > low and "normalized" in kinds:
+        edges["normalized"] = (0.0, 1.0)
+    if high > low and "normalized_sum" in kinds:
+        edges |= ranges(low, high, ("normalized_sum",))
+    wanted = tuple(k for k in kinds if k in edges)
+    grid = {k: (lo, (hi - lo) / bins) if hi > lo else (lo - 0.5, 1.0 / bins) for k, (lo, hi) in edges.items()}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {k: np.zeros(bins, dtype=np.int64) for k in wanted}
+        for batch in batches:
+            values, lengths = _flat_vectors(batch.column(0))
+            for kind, numbers in _profiled(values, lengths, low, high, wanted):
+                counts[kind] += _binned(numbers, *grid[kind], bins)
+        for kind, n in counts.items():
+            used = np.flatnonzero(n)
+            yield pa.RecordBatch.from_pydict({
+                "kind": pa.array([kind] * len(used), pa.string()), "bin": pa.array(used), "n": pa.array(n[used])})
+
+    counted = written_table(vectors.mapInArrow(count, "kind string, bin bigint, n bigint").groupBy("kind", "bin").agg(
+        F.sum("n").alias("n")), "vector-bins")
+
+    def table(kind: str) -> DataFrame:
+        start, width = grid.get(kind, (0.0, 1.0))
+        rows = vectors.sparkSession.range(bins if kind in grid else 0).withColumnRenamed("id", "bin")
+        return rows.join(F.broadcast(counted.where(F.col("kind") == kind).drop("kind")), "bin", "left").select(
+            "bin", (F.lit(start) + F.col("bin") * width).alias("bin_low"),
+            (F.lit(start) + (F.col("bin") + 1) * width).alias("bin_high"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+    return {kind: table(kind) for kind in kinds}
+
+
 def _counted(rows: DataFrame, value: str, n: str | None) -> tuple[DataFrame, Column]:
     return rows.where(F.col(value).isNotNull()), (F.col(n) if n else F.lit(1))
 
@@ -167,9 +282,9 @@ def kernel_density(rows: DataFrame, value: str, grid_size: int = 200, n: str | N
                    cut: float = 0.0) -> DataFrame:
     """Gaussian kernel density on an even grid: ``grid_no``, ``x``, ``density``.
 
-    The bandwidth follows Scott's rule, ``sd * N^(-1/5)``. Each distinct value is spread over the fixed
-    grid inside its own task and summed before the shuffle, so what moves is one partial sum per task and
-    grid point. For continuous columns pass the bins of ``histogram`` (middle and count).
+    The bandwidth follows Scott's rule, ``sd * N^(-1/5)``. A task adds what its distinct values give to the points of the
+    grid in one array, so it makes one row per grid point, and the density is exact. For continuous columns pass the bins
+    of ``histogram`` (middle and count). Without a value there is no grid; without spread the density is NULL.
     """
     rows, weight = _counted(rows, value, n)
     counted = written_table(
@@ -187,14 +302,25 @@ def kernel_density(rows: DataFrame, value: str, grid_size: int = 200, n: str | N
     stats = stats.select(
         "n", "h", (F.col("low") - cut * F.col("h")).alias("low"),
         ((F.col("high") - F.col("low") + 2 * cut * F.col("h")) / (grid_size - 1)).alias("step"))
-    s = stats.select(F.struct("n", "h", "low", "step").alias("s")).scalar()
-    spread_out = counted.select("x", "w", s.alias("s")).select(
-        "x", "w", "s", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("grid_no"))
-    grid = F.col("s.low") + F.col("grid_no") * F.col("s.step")
-    kernel = F.exp(-0.5 * F.pow(F.try_divide(grid - F.col("x"), F.col("s.h")), F.lit(2.0)))
-    scale = F.col("n_h") * F.lit((2 * 3.141592653589793) ** 0.5)
-    return (
-        spread_out.groupBy("grid_no", grid.alias("x"), (F.col("s.n") * F.col("s.h")).alias("n_h"))
-        .agg(F.sum(F.col("w") * kernel).alias("mass"))
-        .select("grid_no", "x", F.try_divide(F.col("mass"), scale).alias("density"))
-    )
+    found = stats.first()
+    if found["n"] is None or found["low"] is None:
+        return rows.sparkSession.createDataFrame([], "grid_no int, x double, density double")
+    grid = found["low"] + np.arange(grid_size) * found["step"]
+    scale = None if not found["h"] else found["n"] * found["h"] * (2 * 3.141592653589793) ** 0.5
+    places = rows.sparkSession.createDataFrame(list(enumerate(grid.tolist())), "grid_no int, x double")
+    if not scale:  # a single value, or no spread: no density
+        return places.withColumn("density", F.lit(None).cast("double"))
+    width = found["h"]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass, step = np.zeros(grid_size), max(1, CHUNK_NUMBERS // grid_size)
+        for batch in batches:
+            at, weights = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for k in range(0, len(at), step):
+                distance = (grid[:, None] - at[None, k:k + step]) / width
+                mass += np.exp(-0.5 * distance * distance) @ weights[k:k + step].astype(np.float64)
+        yield pa.RecordBatch.from_pydict({"grid_no": pa.array(np.arange(grid_size, dtype=np.int32)), "mass": pa.array(mass)})
+
+    masses = counted.select("x", "w").mapInArrow(spread, "grid_no int, mass double").groupBy("grid_no").agg(
+        F.sum("mass").alias("mass"))
+    return places.join(masses, "grid_no").select("grid_no", "x", (F.col("mass") / F.lit(scale)).alias("density"))

@@ -13,23 +13,73 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailseq.functions.vectors import DEFAULT_DIM, zero_vector
+from trailseq.session import written_table
 
 MIN_RESOLVED = 3
 FEATURE = "bert"
+#: Item ids (of 8 bytes) up to which they are sent to all feature records.
+BROADCAST_ITEMS = 1_000_000
+#: Bits of the filter for more items; at most 8 MB of them.
+BITS_PER_ITEM, MOST_BITS, BLOOM_HASHES = 10, 1 << 26, 4
 
 
 def decode_features(features: DataFrame, feature: str = FEATURE) -> DataFrame:
     """Feature records to ``item_id``, ``vec``; the vector is empty where the feature is absent.
 
-    A feature that is there but isn't an array of numbers is an error, not a missing item.
+    A feature that is there but isn't an array of numbers is an error, not a missing item. A feature is parsed once:
+    conditions on ``vec`` can't be moved in front of the explode, where they would parse it again.
     """
     raw = F.col("features")[feature]
-    decoded = F.from_json(raw, "array<double>")
     broken = F.raise_error(F.concat(F.lit(f"feature {feature} of item "), F.coalesce(
         F.col("item_id").cast("string"), F.lit("NULL")), F.lit(" is not an array of numbers: "), F.left(raw, F.lit(80))))
-    whole = F.coalesce(~F.exists(decoded, lambda x: x.isNull()), F.lit(False))
-    return features.select("item_id", F.when(raw.isNull(), F.array().cast("array<double>")).when(
-        whole, decoded).otherwise(broken.cast("array<double>")).alias("vec"))
+
+    def checked(decoded: Column) -> Column:
+        whole = F.coalesce(~F.exists(decoded, lambda x: x.isNull()), F.lit(False))
+        return F.when(raw.isNull(), F.array().cast("array<double>")).when(whole, decoded).otherwise(
+            broken.cast("array<double>"))
+
+    once = F.transform(F.array(F.from_json(raw, "array<double>")), checked)
+    return features.select("item_id", F.explode(once).alias("vec"))
+
+
+def occurring_features(features: DataFrame, items: DataFrame) -> DataFrame:
+    """The feature records of ``items`` (item_id, distinct), not yet parsed.
+
+    Items up to BROADCAST_ITEMS go to the records, which then stay where they are. More items leave a Bloom filter of
+    bounded size, which drops most other records before the rest meets the items in a shuffled join.
+    """
+    stored = written_table(items.select("item_id"), "items")
+    n = stored.count()
+    if n <= BROADCAST_ITEMS:
+        return features.join(F.broadcast(stored), "item_id", "left_semi")
+    bits = min(1 << (BITS_PER_ITEM * n - 1).bit_length(), MOST_BITS)
+    if bits >= 2 * n:  # a filter that is fuller lets nearly everything pass
+        features = features.where(might_contain(bloom_filter(stored, "item_id", bits), "item_id", bits))
+    return features.join(stored, "item_id", "left_semi")
+
+
+def _bit_places(column: str, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.col(column), F.lit(k)), F.lit(bits)) for k in range(BLOOM_HASHES)]
+
+
+def bloom_filter(rows: DataFrame, column: str, bits: int) -> Column:
+    """A Bloom filter of ``column`` as 64-bit words, to be used as a scalar: partial words are merged per task."""
+    places = rows.select(F.explode(F.array(*_bit_places(column, bits))).alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).alias("id")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("word"))
+    dense = rows.sparkSession.range(max(bits >> 6, 1)).join(words, "id", "left").select(
+        "id", F.coalesce("word", F.lit(0).cast("bigint")).alias("word"))
+    return dense.agg(F.sort_array(F.collect_list(F.struct("id", "word"))).alias("w")).select("w.word").scalar()
+
+
+def might_contain(words: Column, column: str, bits: int) -> Column:
+    """False only for values that are not in the filter; NULL is in none."""
+    inside = F.lit(True)
+    for place in _bit_places(column, bits):
+        word = F.get(words, F.shiftright(place, 6).cast("int"))
+        inside = inside & (word.bitwiseAND(F.call_function(
+            "shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))) != 0)
+    return F.col(column).isNotNull() & inside
 
 
 def distinct_items(histories: DataFrame) -> DataFrame:
@@ -52,6 +102,12 @@ def lookup_table(histories: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
+def lookup_of_features(histories: DataFrame, features: DataFrame, feature: str = FEATURE) -> DataFrame:
+    """``lookup_table`` from feature records; only the records of items that occur are parsed."""
+    occurring = occurring_features(features, distinct_items(histories))
+    return decode_features(occurring, feature).where(F.size("vec") > 0)
+
+
 def _in_reading_order(*fields: str) -> Column:
     return F.sort_array(F.collect_list(F.struct("pos", *fields)))
 

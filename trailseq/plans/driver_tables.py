@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailseq.functions.vectors import is_padding
-from trailseq.operators import collect, prepare, resolve
+from trailseq.operators import collect, numbering, prepare, resolve
 
 DIM = 64
 PIECE = 24
@@ -32,43 +32,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def reading_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
-        "user_id", "ts", "event_id", "event_type", "value",
-        "cast(get_json_object(props, '$.k') AS bigint) AS k",
+ITEM = ("cast(get_json_object(props, '$.k') AS bigint) AS k",
         "cast(get_json_object(props, '$.k') AS bigint) * 6 + length(event_type) - 4 AS item_id")
 
 
+def reading_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr("user_id", "ts", "event_id", "event_type", "value", *ITEM)
+
+
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their rank per reader, without sorting one reader's events in one task.
-
-    Ranks are counted inside a reader's 10 milliseconds and shifted by the number of earlier events of its second, by
-    those of earlier seconds of its day and by those of earlier days, all from narrow counts. Windows hold at most 100
-    slots of a second, 86,400 seconds of a day or one row per day, so neither a reader with a third of all
-    events nor a minute with a third of them is sorted in one task.
-    """
-    events = reading_events(spark, sf_dir).selectExpr(
-        "*", "datediff(ts, date'1970-01-01') AS day", "hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS sec",
-        "cast(floor((extract(SECOND FROM ts) - second(ts)) * 100) AS int) AS slot")
-    earlier = "coalesce(sum(n) OVER (PARTITION BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
-    slots = events.groupBy("user_id", "day", "sec", "slot").agg(F.count("*").alias("n")).selectExpr(
-        "*", f"{earlier.format('user_id, day, sec ORDER BY slot')} AS before")
-    seconds = slots.groupBy("user_id", "day", "sec").agg(F.sum("n").alias("n")).selectExpr(
-        "*", f"{earlier.format('user_id, day ORDER BY sec')} AS before_sec")
-    days = seconds.groupBy("user_id", "day").agg(F.sum("n").alias("n")).selectExpr(
-        "user_id", "day", f"{earlier.format('user_id ORDER BY day')} AS before_day")
-
-    def same(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
-        right = right.select(*[F.col(c).alias(f"__{c}") if c in keys else F.col(c) for c in right.columns])
-        on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys]
-        return left.join(right, on).drop(*(f"__{c}" for c in keys))
-
-    starts = same(same(slots.drop("n"), seconds.drop("n"), "user_id", "day", "sec"), days, "user_id", "day").selectExpr(
-        "user_id", "day", "sec", "slot", "before + before_sec + before_day AS start")
-    ranked = events.selectExpr(
-        "*", "row_number() OVER (PARTITION BY user_id, day, sec, slot ORDER BY ts, event_id) - 1 AS slot_rank")
-    return same(ranked, starts, "user_id", "day", "sec", "slot").selectExpr(
-        "user_id", "event_type", "value", "k", "item_id", "start + slot_rank AS rank")
+    """Events with their rank per reader; a reader with a third of all events is numbered in many tasks."""
+    events = table(spark, sf_dir, "events")
+    ranked = numbering.ranks_within(events, "user_id", "ts", "event_id", carry=("event_type", "value", "props"))
+    return ranked.selectExpr("user_id", "event_type", "value", *ITEM, "rank")
 
 
 def reader_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

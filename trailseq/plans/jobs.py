@@ -15,27 +15,28 @@ from trailseq.streaming import collector
 
 
 def collect_job(spark: SparkSession, contexts_path: str, out_path: str, checkpoint: str) -> None:
-    """Read all new context files, append their histories, stop."""
+    """Read all new context files, append their histories once, stop."""
     contexts = collector.read_contexts(spark, contexts_path)
     collector.start_collector(contexts, out_path, checkpoint, available_now=True).awaitTermination()
 
 
 def resolve_job(spark: SparkSession, collected_path: str, features: DataFrame, out_path: str) -> None:
     histories = json_lines.read_histories(spark, collected_path, strict=True)
-    resolved = resolve.resolve_histories(histories, resolve.decode_features(features))
-    json_lines.write_resolved(resolved, out_path)
+    occurring = resolve.occurring_features(features, resolve.distinct_items(histories))
+    resolved = resolve.resolve_histories(histories, written_table(resolve.decode_features(occurring), "vectors"))
+    json_lines.publish_resolved(resolved, out_path)
 
 
 def lookup_job(spark: SparkSession, collected_path: str, features: DataFrame, out_path: str) -> None:
     histories = json_lines.read_histories(spark, collected_path, strict=True)
-    json_lines.write_pairs(resolve.lookup_table(histories, resolve.decode_features(features)), out_path)
+    json_lines.publish_pairs(resolve.lookup_of_features(histories, features), out_path)
 
 
 def split_job(spark: SparkSession, resolved_path: str, out_path: str, dim: int = DEFAULT_DIM,
               fmt: str = "json", train: float = 0.9, seed: int = 0) -> None:
     resolved = json_lines.read_resolved(spark, resolved_path, strict=True)
     ready = prepare.prepare_sequences(prepare.vectors_only(resolved), dim).select("value")
-    json_lines.write_split(prepare.random_split(ready, train, seed), out_path, fmt=fmt)
+    json_lines.publish_split(prepare.random_split(ready, train, seed), out_path, fmt=fmt)
 
 
 def last_histories(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -71,25 +72,20 @@ def profile_histories(histories: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def profile_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM,
-                      bins: int | str = 100) -> dict[str, DataFrame]:
-    """The tables of the vector part of the profile, over a stored table with a ``value`` column."""
+def profile_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM, bins: int = 100) -> dict[str, DataFrame]:
+    """The tables of the vector part of the profile, over a stored table with a ``value`` column.
+
+    Lengths take one scan and the four histograms at most three; densities come from their bins.
+    """
     counts = written_table(profile.unpadded_length_counts(sequences, dim), "unpadded")
     real = profile.real_vectors(sequences, dim)
-    scaled = profile.normalized_vectors(real)
-    sums = written_table(profile.vector_sums(real), "sums")
-    scaled_sums = profile.normalized_sums(real)
     tables = {
         "unpadded_stats": profile.stats_of_counts(counts),
         "unpadded_histogram": profile.histogram(counts, "length", "auto", n="n"),
         "unpadded_density": profile.kernel_density(counts, "length", n="n"),
         "channel_range": profile.channel_range(real),
     }
-    for name, rows, value in (("channel", profile.channels(real), "channel"),
-                              ("sum", sums, "channel_sum"),
-                              ("normalized", profile.channels(scaled), "channel"),
-                              ("normalized_sum", scaled_sums, "channel_sum")):
-        binned = written_table(profile.histogram(rows, value, bins), f"{name}-bins")
+    for name, binned in profile.vector_histograms(real, bins).items():
         tables[f"{name}_histogram"] = binned
         middles = binned.select(((F.col("bin_low") + F.col("bin_high")) / 2).alias("middle"), "n")
         tables[f"{name}_density"] = profile.kernel_density(middles, "middle", n="n")

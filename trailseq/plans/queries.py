@@ -16,7 +16,7 @@ from trailseq.operators import collect, evaluate, generate, nearest, numbering,
 from trailseq.plans import driver_tables as tables
 from trailseq.plans import jobs
 from trailseq.session import scratch_path, written_table
-from trailseq.sources import json_lines, partitions, schemas
+from trailseq.sources import json_lines, partitions, publish, schemas
 from trailseq.streaming import collector
 
 DIM = tables.DIM
@@ -53,7 +53,7 @@ def stream_collect(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "lookup-json")
-    json_lines.write_pairs(tables.lookup(spark, sf), path, compression="gzip")
+    json_lines.publish_pairs(tables.lookup(spark, sf), path, compression="gzip")
     return json_lines.read_lookup(spark, path, strict=True).select(
         "item_id", F.size("vec").alias("n"), _checksum("vec").alias("checksum"))
 
@@ -129,13 +129,14 @@ def distinct_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lookup_left(spark: SparkSession, sf: str) -> DataFrame:
-    items = resolve.distinct_items(tables.collected(spark, sf))
-    return resolve.lookup_left(items, tables.vectors(spark, sf)).select(
+    items = written_table(resolve.distinct_items(tables.collected(spark, sf)), "items")
+    occurring = resolve.occurring_features(tables.features(spark, sf), items)
+    return resolve.lookup_left(items, resolve.decode_features(occurring)).select(
         "item_id", F.size("vec").alias("n"), _checksum("vec").alias("checksum"))
 
 
 def lookup_table(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.lookup_table(tables.collected(spark, sf), tables.vectors(spark, sf)).select(
+    return resolve.lookup_of_features(tables.collected(spark, sf), tables.features(spark, sf)).select(
         "item_id", F.size("vec").alias("n"), _checksum("vec").alias("checksum"))
 
 
@@ -199,8 +200,8 @@ def shifted_long(spark: SparkSession, sf: str) -> DataFrame:
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     ready = tables.prepared_ids(spark, sf).select("seq_id", "n_real", prepare.hash_split("seq_id").alias("split"))
     path = scratch_path(spark, "split")
-    json_lines.write_split(ready, path)
-    return spark.read.schema(ready.schema).parquet(path)
+    json_lines.publish_split(ready, path)
+    return spark.read.schema(ready.schema).parquet(*publish.data_paths(spark, path))
 
 
 def prefix_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,18 +286,20 @@ def unpadded_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return _bins(profile.histogram(counts, "length", 10, n="n"))
 
 
+def _vector_histogram(spark: SparkSession, sf: str, kind: str, bins: int) -> DataFrame:
+    return profile.vector_histograms(_stored_vectors(spark, sf), bins, (kind,))[kind]
+
+
 def channel_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return _bins(profile.histogram(profile.channels(_stored_vectors(spark, sf)), "channel", 20))
+    return _bins(_vector_histogram(spark, sf, "channel", 20))
 
 
 def normalized_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = profile.normalized_vectors(_stored_vectors(spark, sf))
-    return _bins(profile.histogram(profile.channels(scaled), "channel", 20))
+    return _bins(_vector_histogram(spark, sf, "normalized", 20))
 
 
 def sum_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    sums = written_table(profile.vector_sums(_real_vectors(spark, sf)), "sums")
-    return _bins(profile.histogram(sums, "channel_sum", 20))
+    return _bins(_vector_histogram(spark, sf, "sum", 20))
 
 
 def length_kde(spark: SparkSession, sf: str) -> DataFrame:
@@ -307,7 +310,7 @@ def length_kde(spark: SparkSession, sf: str) -> DataFrame:
 
 def channel_kde(spark: SparkSession, sf: str) -> DataFrame:
     """Density of all channels from 100 bins."""
-    binned = profile.histogram(profile.channels(_stored_vectors(spark, sf)), "channel", 100)
+    binned = _vector_histogram(spark, sf, "channel", 100)
     middles = binned.select(((F.col("bin_low") + F.col("bin_high")) / 2).alias("middle"), "n")
     return profile.kernel_density(middles, "middle", n="n").select(
         "grid_no", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))

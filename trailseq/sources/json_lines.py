@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailseq.sources import schemas
+from trailseq.sources import publish, schemas
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType,
                     strict: bool = False, with_file: bool = False, suffix: str | None = None) -> DataFrame:
     """One file, one directory or a list of them, compressed or not, never inferring a schema.
 
-    ``suffix`` (such as ``.json``) leaves files with other names out. ``strict`` fails on a line that doesn't parse; otherwise
+    Published tables are read in their current version (see ``publish``). ``suffix`` (such as ``.json``) leaves files with other names out. ``strict`` fails on a line that doesn't parse; otherwise
     its columns are NULL.
     """
     reader = spark.read.schema(schema)
@@ -21,7 +21,8 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     if strict:
         reader = reader.option("mode", "FAILFAST")
-    df = reader.json(path)
+    paths = [found for one in ([path] if isinstance(path, str) else path) for found in publish.data_paths(spark, one)]
+    df = reader.json(paths)
     return df.select("*", F.col("_metadata.file_path").alias("file")) if with_file else df
 
 
@@ -38,9 +39,23 @@ def read_pairs(spark: SparkSession, path: str | list[str], schema: T.StructType,
     return df.select(*renamed, *(["file"] if with_file else []))
 
 
+def _stored_pairs(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_{i + 1}") for i, c in enumerate(df.columns)])
+
+
 def write_pairs(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
-    df.select(*[F.col(c).alias(f"_{i + 1}") for i, c in enumerate(df.columns)]).write.mode(mode).json(
-        path, compression=compression)
+    """Plain files; ``overwrite`` deletes first, so prefer ``publish_pairs`` for what others read."""
+    _stored_pairs(df).write.mode(mode).json(path, compression=compression)
+
+
+def publish_pairs(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Replace the pairs at ``path``, all at once or not at all."""
+    publish.publish(_stored_pairs(df), path, lambda w, p: w.json(p, compression=compression))
+
+
+def append_pairs(df: DataFrame, path: str, key: str, fmt: str = "json") -> bool:
+    """Add the pairs of one batch, once however often it is replayed."""
+    return publish.append_once(_stored_pairs(df) if fmt == "json" else df, path, key, lambda w, p: w.format(fmt).save(p))
 
 
 def read_histories(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
@@ -63,12 +78,11 @@ def read_resolved(spark: SparkSession, path: str | list[str], **options) -> Data
     return df.withColumn("value", F.col("value").cast(schemas.RESOLVED["value"].dataType))
 
 
-def write_resolved(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def publish_resolved(df: DataFrame, path: str) -> None:
     stored = T.ArrayType(_pair_schema(schemas.LOOKUP))
-    df.select(F.col("value").cast(stored).alias("value")).write.mode(mode).json(path)
+    publish.publish(df.select(F.col("value").cast(stored).alias("value")), path, lambda w, p: w.json(p))
 
 
-def write_split(df: DataFrame, path: str, split_column: str = "split", fmt: str = "parquet",
-                mode: str = "overwrite") -> None:
-    """Both parts in one pass: one directory per split label."""
-    df.write.mode(mode).partitionBy(split_column).format(fmt).save(path)
+def publish_split(df: DataFrame, path: str, split_column: str = "split", fmt: str = "parquet") -> None:
+    """Both parts in one pass: one directory per split label, which become current together."""
+    publish.publish(df, path, lambda w, p: w.partitionBy(split_column).format(fmt).save(p))
