@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import hashlib
 from collections.abc import Iterator
@@ -121,6 +123,16 @@ def rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], type=f.type, from_pandas=False) for f in schema], schema=schema)
 
 
+def release_memory() -> None:
+    """Give what this process has freed back to the system.
+
+    Workers stay for later stages, and what their allocators keep is missing in the executor.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library here may have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def remainder(doc_id: Column, by: int) -> Column:
     """crc32 of the id as text, modulo ``by``; a NULL id counts as 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % by, F.lit(0))

@@ -1,15 +1,19 @@
 """Benchmark decontamination: passages of documents that are within a few word edits of a benchmark item.
 
-Windows of an item's size are embedded by the CGK random walk: at each of 3 n steps the walk puts out the word it
-stands on and, by a hash of step and word, stays or moves on, so that few edits become few differing steps. Each
-repetition samples some steps; a window is a candidate for an item if all words of a sample are equal in any
-repetition. An alignment of the item within the words around the window then gives the exact number of edits.
+Windows of an item's size are embedded by the CGK random walk: at each step the walk puts out the word it
+stands on and, by a hash of step and word, stays or moves on, so that few edits become few differing steps. A
+repetition has a walk of its own, which sets out at a word of the window that is drawn for the size, and samples some of
+its first steps; a window is a candidate for an item if all sampled words are equal in any repetition. Only candidates
+are aligned, which gives the exact number of edits.
+
+Walks of two texts that have come apart by a deleted word seldom meet again, so one walk over a long window sees
+little of it; walks that set out all over the window each ask for a few unchanged words only. With every fifth word
+edited, however evenly, a repetition agrees if it sets out in one of the unchanged stretches and its steps stay there,
+which has a chance of about a half at any size, so that all REPETITIONS hardly ever miss.
 
 Only windows that can reach the bound are embedded: an item cut into one more block than edits are allowed has an
 unchanged block in every such passage, so a seed of the item (4 words, or 1 to 3 where blocks are that short) must be
-there at its place, give or take the edits.
-Candidates are aligned first. Samples miss pairs, the more the longer the item and the more of its edits are of one
-kind, so then every other such window is aligned as well, but of pairs found without an edit: none within the bound is missed.
+there at its place, give or take the edits. The seeds also say where windows begin.
 """
 
 from __future__ import annotations
@@ -28,10 +32,12 @@ from trailseq.llm import common
 SEED = 4
 #: Share of an item's words that may be edited (inserted, deleted or replaced).
 EDITS = 0.2
-#: Random walks, samples of each walk, and steps of a sample. They choose what is aligned first, not what is found.
-WALKS = 4
-SAMPLES = 8
+#: Repetitions: walks, each with its start, its run of steps and the steps that it samples.
+REPETITIONS = 32
+RUN = 5
 STEPS = 2
+#: Seeds and windows that are worked on at a time.
+BLOCK_WINDOWS = 1_000_000
 #: Characters of benchmark text that are searched for, and broadcast, at a time.
 BLOCK_CHARS = 8_000_000
 
@@ -48,33 +54,29 @@ def seed_size(words: int) -> int:
     return min(SEED, words // (allowed(words) + 1))
 
 
-def walk(windows: np.ndarray, seed: int) -> np.ndarray:
-    """CGK embeddings (n, 3 * size) of windows (n, size) of word digests; 0 behind the end."""
-    n, size = windows.shape
-    padded = np.concatenate([windows, np.zeros((n, 1), dtype=np.uint64)], axis=1)
-    at, row = np.zeros(n, dtype=np.int64), np.arange(n)
-    out = np.empty((n, 3 * size), dtype=np.uint64)
-    for step in range(3 * size):
-        word = padded[row, at]
-        out[:, step] = word
-        salt = common.mix(np.array([seed * 1_000_003 + step], dtype=np.uint64))[0]
-        at = np.minimum(at + ((common.mix(word ^ salt) >> np.uint64(40)) & np.uint64(1)).astype(np.int64), size)
+def walk(words: np.ndarray, at: np.ndarray, first: np.ndarray, end: np.ndarray, repetition: int) -> np.ndarray:
+    """(RUN, n) words that CGK walks put out which set out at ``at``; 0 outside of ``first`` to ``end`` (exclusive)."""
+    at, out = at.copy(), np.empty((RUN, len(at)), dtype=np.uint64)
+    for step in range(RUN):
+        inside = (at >= first) & (at < end)
+        word = np.where(inside, words[np.clip(at, 0, len(words) - 1)], np.uint64(0))
+        out[step] = word
+        salt = common.mix(np.array([repetition * 1_000_003 + step], dtype=np.uint64))[0]
+        at += ((common.mix(word ^ salt) >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
     return out
 
 
-def sample_keys(windows: np.ndarray) -> np.ndarray:
-    """(n, WALKS * SAMPLES) hashes of the sampled steps of each walk."""
-    n, size = windows.shape
-    out = np.empty((n, WALKS * SAMPLES), dtype=np.uint64)
-    for w in range(WALKS):
-        steps = walk(windows, w)
-        for s in range(SAMPLES):
-            draw = common.mix(np.arange(STEPS, dtype=np.uint64) + np.uint64(STEPS * (SAMPLES * w + s)))
-            key = np.full(n, SAMPLES * w + s, dtype=np.uint64)
-            for position in draw % np.uint64(2 * size):  # the walk has seldom ended before
-                key = common.mix(key ^ steps[:, int(position)])
-            out[:, SAMPLES * w + s] = key
-    return out
+def sample_keys(words: np.ndarray, start: np.ndarray, size: np.ndarray, first: np.ndarray, last: np.ndarray,
+                repetition: int) -> np.ndarray:
+    """A hash of the steps that ``repetition`` samples of each window; 0 if its walk sets out outside of the text."""
+    draw = common.mix(np.arange(STEPS + 1, dtype=np.uint64) + np.uint64((STEPS + 1) * repetition))
+    offset = (draw[0] % size.astype(np.uint64)).astype(np.int64)
+    steps = walk(words, start + offset, np.maximum(first, start), np.minimum(last, start + size), repetition)
+    # the first step, and one that is drawn among the others
+    key = common.mix(steps[0] ^ np.uint64(repetition + 1))
+    for k in range(1, STEPS):
+        key = common.mix(key ^ steps[1 + int(draw[k] % np.uint64(RUN - 1))])
+    return np.where(steps[0] != 0, key, np.uint64(0))
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
@@ -97,6 +99,16 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(start[end]), end - int(start[end])
 
 
+def _counted(rows: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+    """Distinct columns of (text, item, start), sorted, with the sum of their weights as a fourth row."""
+    order = np.lexsort(rows[::-1])
+    rows = rows[:, order]
+    weights = np.ones(len(order), dtype=np.int64) if weights is None else weights[order]
+    first = np.flatnonzero(np.concatenate(([True], (np.diff(rows, axis=1) != 0).any(axis=0)))[:len(order)])
+    sums = np.add.reduceat(weights, first) if len(first) else weights
+    return np.concatenate([rows[:, first], sums[None, :]])
+
+
 class Items:
     """Benchmark items with their seeds and sample keys."""
 
@@ -117,75 +129,71 @@ class Items:
             known = np.zeros(1 << 22, dtype=bool)
             known[seeds[at] >> np.uint64(42)] = True
             self.seeds[n] = seeds[at], owner[at], at - words.first[owner[at]], known
-        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by size: sorted sample keys, item of each
-        for size in {len(w) for w in self.words if len(w)}:
-            own = np.array([k for k, w in enumerate(self.words) if len(w) == size])
-            keys = sample_keys(np.stack([self.words[k] for k in own]))
-            flat, of = keys.reshape(-1), np.repeat(own, keys.shape[1])
-            order = np.argsort(flat, kind="stable")
-            self.keys[size] = flat[order], of[order]
-
-    def hits(self, words: common.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (text, item, start) by seeds, where enough seeds of the item lie around for one within the bound."""
-        found = [np.zeros((3, 0), dtype=np.int64)]
+        of = words.first[:-1]
+        some = np.flatnonzero(self.sizes > 0)
+        #: (repetitions, items) keys of the items themselves.
+        self.keys = np.zeros((REPETITIONS, len(ids)), dtype=np.uint64)
+        for r in range(REPETITIONS):
+            if len(some):
+                self.keys[r, some] = sample_keys(
+                    words.hashes, of[some], self.sizes[some], of[some], of[some] + self.sizes[some], r)
+
+    def _seeded(self, words: common.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (text, item, start) that seeds point to, sorted, and the number of seeds."""
+        parts = [np.zeros((4, 0), dtype=np.int64)]
         for n, (seeds, owner, offset, known) in self.seeds.items():
             digests, whole = words.windows(n)
             at = np.flatnonzero(whole & known[digests >> np.uint64(42)])
             low = np.searchsorted(seeds, digests[at], side="left")
             count = np.searchsorted(seeds, digests[at], side="right") - low
-            hit = np.repeat(low, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-            at = np.repeat(at, count)
-            found.append(np.stack([np.searchsorted(words.first, at, side="right") - 1, owner[hit], at - offset[hit]]))
-        text, item, start = np.concatenate(found, axis=1)
-        order = np.lexsort((start, item, text))
-        text, item, start = text[order], item[order], start[order]
+            at, low, count = at[count > 0], low[count > 0], count[count > 0]
+            so_far, begin = np.cumsum(count), 0
+            while begin < len(at):
+                before = int(so_far[begin - 1]) if begin else 0
+                end = max(begin + 1, int(np.searchsorted(so_far, before + BLOCK_WINDOWS, side="right")))
+                some, many = slice(begin, end), count[begin:end]
+                hit = np.repeat(low[some], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+                place = np.repeat(at[some], many)
+                text = np.searchsorted(words.first, place, side="right") - 1
+                parts.append(_counted(np.stack([text, owner[hit], place - offset[hit]])))
+                if len(parts) > 8:
+                    parts = [_counted(np.concatenate([p[:3] for p in parts], axis=1), np.concatenate([p[3] for p in parts]))]
+                begin = end
+        whole = _counted(np.concatenate([p[:3] for p in parts], axis=1), np.concatenate([p[3] for p in parts]))
+        return whole[0], whole[1], whole[2], whole[3]
+
+    def hits(self, words: common.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (text, item, start) by seeds, where enough seeds of the item lie around for one within the bound."""
+        text, item, start, seeds = self._seeded(words)
         # an edit changes at most as many seeds as one has words, and seeds of one passage are at most twice the edits apart
         slack, seed = self.slack[item], self.seed[item]
         need = np.maximum(self.sizes[item] - seed + 1 - seed * slack, 1)
         pair = np.cumsum(np.concatenate(([0], (np.diff(text) != 0) | (np.diff(item) != 0)))[:len(text)])
         place = pair * (1 << 40) + start
-        around = (np.searchsorted(place, place + 2 * slack, side="right")
-                  - np.searchsorted(place, place - 2 * slack, side="left"))
-        kept = np.flatnonzero(around >= need)
-        kept = kept[np.concatenate(([True], np.diff(place[kept]) != 0))[:len(kept)]]
+        total = np.concatenate(([0], np.cumsum(seeds)))
+        around = (total[np.searchsorted(place, place + 2 * slack, side="right")]
+                  - total[np.searchsorted(place, place - 2 * slack, side="left")])
+        kept = around >= need
         return text[kept], item[kept], start[kept]
 
-    def windows(self, items: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (size, start) of windows around the hits."""
-        pairs = np.unique(np.stack([self.sizes[items], starts], axis=1), axis=0)
-        slack = np.array([allowed(s) for s in pairs[:, 0]], dtype=np.int64)
-        spread = np.repeat(pairs, 2 * slack + 1, axis=0)
-        within = np.arange(len(spread)) - np.repeat(np.cumsum(2 * slack + 1) - (2 * slack + 1), 2 * slack + 1)
-        spread[:, 1] += within - np.repeat(slack, 2 * slack + 1)
-        spread = np.unique(spread, axis=0)
-        return spread[:, 0], spread[:, 1]
+    def candidates(self, words: common.Words) -> Iterator[tuple[int, int, int]]:
+        """(text, item, start) of seeded windows that agree with their item in a repetition, sorted."""
+        text, item, start = self.hits(words)
+        for begin in range(0, len(text), BLOCK_WINDOWS):
+            some = slice(begin, begin + BLOCK_WINDOWS)
+            t, k, s = text[some], item[some], start[some]
+            agree = np.zeros(len(t), dtype=bool)
+            for r in range(REPETITIONS):
+                left = np.flatnonzero(~agree)
+                own = sample_keys(words.hashes, s[left], self.sizes[k[left]], words.first[t[left]], words.first[t[left] + 1], r)
+                agree[left] = (own == self.keys[r, k[left]]) & (own != 0)
+            yield from zip(t[agree].tolist(), k[agree].tolist(), s[agree].tolist())
 
     def search(self, texts: list[str | None]) -> list[list[dict]]:
         """Items found in each text, each once, at its best place."""
         found: list[dict[int, dict]] = [{} for _ in texts]
         words = common.Words(texts, lower=True)
-        hit_text, hit_item, hit_start = self.hits(words)
-        sizes, starts = self.windows(hit_item, hit_start)
-        for size in np.unique(sizes):
-            of_size = starts[sizes == size]
-            # a window may hang over an end of its text by the allowed edits; it is moved inside
-            text = np.searchsorted(words.first, np.clip(of_size + size // 2, 0, len(words.hashes) - 1), side="right") - 1
-            first, last = words.first[text], words.first[text + 1]
-            inside = np.minimum(np.maximum(of_size, first), np.maximum(last - size, first))
-            windows = np.stack([inside, np.minimum(inside + size, last), text], axis=1)
-            windows = np.unique(windows, axis=0)
-            columns = windows[:, :1] + np.arange(size)[None, :]
-            content = np.where(columns < windows[:, 1:2], words.hashes[np.minimum(columns, len(words.hashes) - 1)], 0)
-            keys, owners = self.keys[int(size)]
-            sampled = sample_keys(content.astype(np.uint64))
-            low = np.searchsorted(keys, sampled, side="left")
-            count = np.searchsorted(keys, sampled, side="right") - low
-            candidates: set[tuple[int, int, int]] = set()
-            for row, column in zip(*np.nonzero(count)):
-                for k in range(low[row, column], low[row, column] + count[row, column]):
-                    candidates.add((int(windows[row, 2]), int(owners[k]), int(windows[row, 0])))
-            self._verify(sorted(candidates), words, found)
-        self._verify(zip(hit_text.tolist(), hit_item.tolist(), hit_start.tolist()), words, found)
+        self._verify(self.candidates(words), words, found)
         return [[f[k] for k in sorted(f)] for f in found]
 
     def _verify(self, candidates, words: common.Words, found: list[dict[int, dict]]) -> None:
@@ -235,6 +243,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
                                     "item_id", "start", "length", "edits")])))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:at], both, *batch.columns[at + 1:]], names=batch.schema.names)
+            common.release_memory()
 
         docs = docs.mapInArrow(run, T.StructType([
             T.StructField(f.name, f.dataType) if f.name == "found" else f for f in docs.schema]))
