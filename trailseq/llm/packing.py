@@ -13,6 +13,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ MIN_CUT = 16
 MERGED_PARTITIONS = 64
 END_ID = 1
 #: Words of a generation, and parts of words, whose ids a worker remembers; more begin a new generation.
-REMEMBERED_WORDS = 450_000
+REMEMBERED_WORDS = 300_000
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint")
@@ -41,7 +42,8 @@ class Encoder:
 
     The tokenizer normalizes and splits at white space before anything else, so the ids of a text are those of
     its white-space-separated words, and most words have been seen before. A word made of letters and then ASCII
-    punctuation is split there too, as the tokenizer does, and its letters are looked up in lower case.
+    punctuation is split there too, as the tokenizer does, and its letters are looked up in lower case. Latin letters
+    need none of the tokenizer's other steps and go to its model as they are.
     What was seen is held in two generations; a full one becomes the older, which is then dropped.
     """
 
@@ -49,39 +51,41 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def ids(self, text: str | None) -> np.ndarray:
-        """Little-endian unsigned 32-bit ids of ``text`` without special tokens, then the end id."""
-        words = (text or "").encode("utf-8", "replace").split()
-        try:
-            found = b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self._learn(set(words))
-            found = b"".join(map(self.known.__getitem__, words))
-        return np.frombuffer(found + _END, dtype="<u4")
-
-    def _learn(self, words: set[bytes]) -> None:
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Little-endian unsigned 32-bit ids of each text without special tokens, then the end id."""
+        words = [(text or "").encode("utf-8", "replace").split() for text in texts]
         if len(self.known) > REMEMBERED_WORDS:
             self.older, self.known = self.known, {}
+        self._learn(set().union(*words).difference(self.known))
+        known = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(known, own)) + _END, dtype="<u4") for own in words]
+
+    def _learn(self, words: set[bytes]) -> None:
         if len(self.parts) > REMEMBERED_WORDS:
             self.parts.clear()
-        split, unknown = {}, set()
+        older, known, unknown = self.older.get, self.parts, set()
+        split = {}
         for word in words:
-            if word in self.known:
-                continue
-            if (ids := self.older.get(word)) is not None:
+            if (ids := older(word)) is not None:
                 self.known[word] = ids
-                continue
-            parts = split[word] = _parts(word.decode("utf-8"))
-            unknown.update(p for p in parts if p not in self.parts)
-        unknown = list(unknown)
-        for part, one in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)):
-            self.parts[part] = array("I", one.ids).tobytes()
+            else:
+                parts = split[word] = _parts(word.decode("utf-8"))
+                unknown.update(p for p in parts if p not in known)
+        other = []
+        for part in unknown:
+            if part.isalpha() and ord(max(part)) < _LATIN_END and part == part.lower() and is_normalized("NFC", part):
+                known[part] = array("I", [t.id for t in self.model.tokenize(_byte_letters(part))]).tobytes()
+            else:
+                other.append(part)
+        for part, one in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            known[part] = array("I", one.ids).tobytes()
         for word, parts in split.items():
-            self.known[word] = b"".join([self.parts[p] for p in parts])
+            self.known[word] = b"".join([known[p] for p in parts])
 
 
 _END = np.array([END_ID], dtype="<u4").tobytes()
@@ -89,6 +93,16 @@ _END = np.array([END_ID], dtype="<u4").tobytes()
 _CLOSING = ".,;:!?)]}*%$#&-"
 #: Letters whose lower case depends on their place or has more than one character.
 _SPECIAL = frozenset("\u03a3\u0130")
+#: Letters before this code point are lower-cased alike everywhere.
+_LATIN_END = 0x250
+#: The model's letters for bytes: printable ones stand for themselves, the others are moved behind the first 256.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTERS = {b: 0x100 + k for k, b in enumerate(b for b in range(0x100) if b not in set(_PRINTABLE))}
+
+
+def _byte_letters(part: str) -> str:
+    """The bytes of ``part`` as the model spells them."""
+    return part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(_LETTERS)
 
 
 def _parts(word: str) -> tuple[str, ...]:
@@ -181,10 +195,11 @@ def _packing_task(definition, length: int, open_windows: int, min_cut: int, with
 
         for batch in common.chunks(batches):
             done = []
-            for doc_id, text in zip(common.column(batch, "doc_id"), common.column(batch, "text")):
-                done += packer.place(doc_id, own.ids(text))
+            for doc_id, ids in zip(common.column(batch, "doc_id"), own.ids(common.column(batch, "text"))):
+                done += packer.place(doc_id, ids)
             yield out(done, False)
         yield out(packer.open, True)
+        common.release_memory()
     return run
 
 
