@@ -34,6 +34,8 @@ MARGIN = 0.16
 #: Nodes on either side of a tile of pairs, and rows of a bucket that one task compares.
 BLOCK = 64
 BUCKET_BLOCK = 512
+#: Shingles (about words) of the nodes on either side, which bounds the texts and sets that a task holds.
+TILE_SHINGLES = 1_000_000
 
 #: Classes with a shared bucket up to which their texts are picked out by a broadcast of their ids.
 BROADCAST_ROWS = 1_000_000
@@ -117,6 +119,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "key_a": pa.array(key_a), "key_b": pa.array(key_b),
             "signature": pa.array(signature, pa.list_(pa.int64())),
             "buckets": pa.array(buckets, pa.list_(pa.int64()))})
+    common.release_memory()
 
 
 def estimate(a: str, b: str) -> F.Column:
@@ -132,13 +135,13 @@ def estimate(a: str, b: str) -> F.Column:
 
 
 def _plausible(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs (a, b) that sizes and signatures don't rule out."""
+    """Pairs (a, b, n_a, n_b) that sizes and signatures don't rule out."""
     side = lambda x: signed.select(
         F.col("rep").alias(x), F.col("signature").alias(f"signature_{x}"), F.col("n_shingles").alias(f"n_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.where(
         (100 * F.least("n_a", "n_b") >= LINK * F.greatest("n_a", "n_b"))
-        & (estimate("signature_a", "signature_b") >= LINK / 100 - MARGIN)).select("a", "b")
+        & (estimate("signature_a", "signature_b") >= LINK / 100 - MARGIN)).select("a", "b", "n_a", "n_b")
 
 
 def _linked(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -172,16 +175,15 @@ def _confirm_tile(group: pa.Table) -> pa.Table:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that are linked on their full sets; ``texts`` has rep and text.
+    """Pairs (a, b) that are linked on their full sets; ``pairs`` has n_a and n_b, ``texts`` has rep and text.
 
-    The pairs of a ``hub`` are cut into tiles of about BLOCK nodes on either side, to which a text is shipped once.
+    The pairs of one a are cut into tiles of about BLOCK nodes and TILE_SHINGLES shingles, to which a text is shipped once.
     """
-    sizes = pairs.groupBy("hub").agg(
-        F.ceil(F.approx_count_distinct("a") / BLOCK).alias("rows"), F.ceil(F.approx_count_distinct("b") / BLOCK).alias("columns"))
-    dealt = pairs.join(sizes, "hub").select(
-        "hub", F.pmod(F.xxhash64("a"), F.col("rows")).alias("i"), F.pmod(F.xxhash64("b"), F.col("columns")).alias("j"),
-        "a", "b")
-    tile = ["hub", "i", "j"]
+    sizes = pairs.groupBy("a").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK, F.sum("n_b") / TILE_SHINGLES)).alias("columns"))
+    dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("columns")).alias("j"))
+    dealt = dealt.withColumn("hub", F.col("a"))
+    tile = ["hub", "j"]
     nodes = dealt.select(*tile, F.explode(F.array("a", "b")).alias("rep")).distinct().join(texts, "rep").select(
         *tile, F.lit(0).alias("kind"), F.col("rep").alias("a"), F.lit(None).cast("bigint").alias("b"), "text")
     rows = nodes.unionByName(
@@ -252,17 +254,18 @@ def _tile_links(group: pa.Table) -> pa.Table:
 
 
 def _residual_links(rows: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between components that share a bucket; ``rows`` has bucket, rep, component.
+    """Links between components that share a bucket; ``rows`` has bucket, rep, n_shingles, component.
 
     In a bucket the nodes outside its largest component are probes, and all nodes are targets. Both are cut into
     blocks; a tile holds one block of either. Signatures come first, texts only of nodes that may have a link.
     """
-    counts = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    blocks = lambda n, w: F.ceil(F.greatest(n / BUCKET_BLOCK, w / TILE_SHINGLES))
     mixed = counts.groupBy("bucket").agg(
-        F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("major"), F.count("*").alias("parts")).where(
-        "parts > 1").select(
-        "bucket", F.col("major.component").alias("major"), F.ceil(F.col("all") / BUCKET_BLOCK).alias("columns"),
-        F.ceil((F.col("all") - F.col("major.n")) / BUCKET_BLOCK).alias("rows"))
+        F.sum("n").alias("all"), F.sum("w").alias("w"), F.max(F.struct("n", "component", "w")).alias("major"),
+        F.count("*").alias("parts")).where("parts > 1").select(
+        "bucket", F.col("major.component").alias("major"), blocks(F.col("all"), F.col("w")).alias("columns"),
+        blocks(F.col("all") - F.col("major.n"), F.col("w") - F.col("major.w")).alias("rows"))
     own = rows.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("major"))
     row, column = F.pmod(F.xxhash64("rep"), F.col("rows")), F.pmod(F.xxhash64("rep"), F.col("columns"))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -290,7 +293,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         signed.where("n_shingles > 0").join(
             classes.select(F.col("rep").alias("doc_id"), *keys), ["doc_id", *keys], "left_semi")
         .dropDuplicates(["doc_id", *keys]).withColumnRenamed("doc_id", "rep"), "classes")
-    buckets = reps.select("rep", F.explode("buckets").alias("bucket"))
+    buckets = reps.select("rep", "n_shingles", F.explode("buckets").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     mates = written_table(buckets.join(shared, "bucket"), "bucket-mates")
 
@@ -307,10 +310,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     best = centred.groupBy("rep").agg(F.max(F.struct("degree", -F.col("centre")))["col2"].alias("c")).select(
         (-F.col("c")).alias("a"), F.col("rep").alias("b")).where("a != b")
-    first = _plausible(best, reps).withColumn("hub", F.col("a"))
+    first = _plausible(best, reps)
     links = written_table(_confirmed(first, texts), "links")
     labels = components(links)
-    in_parts = lambda: mates.select("bucket", "rep").join(
+    in_parts = lambda: mates.select("bucket", "rep", "n_shingles").join(
         labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
     parts = in_parts()
@@ -318,7 +321,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         parts.select("bucket", F.col("rep").alias("centre"), F.col("component").alias("other")), ["bucket", "centre"])
     second = apart.where("component != other").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     links = links.unionByName(written_table(
-        _confirmed(_plausible(second, reps).withColumn("hub", F.col("a")), texts), "links"))
+        _confirmed(_plausible(second, reps), texts), "links"))
     labels = components(links)
     links = links.unionByName(written_table(_residual_links(in_parts(), reps, texts), "links"))
     labels = components(links)
