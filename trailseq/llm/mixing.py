@@ -32,7 +32,7 @@ MOST_COPIES = 3
 TOLERANCE = 1e-9
 ROUNDS = 200
 #: Documents of a source and size that are ranked in one piece.
-RANKED_ROWS = 4096
+RANKED_ROWS = 512
 #: Rows (of a few numbers) up to which sources and sizes are sent to all executors.
 BROADCAST_ROWS = 200_000
 
@@ -142,7 +142,9 @@ def _rounded(most_copies: int):
             if size[k]:
                 least = ceil((owed - (rest_most - rest_due)) / size[k] - 1e-9)
                 largest = floor((owed + rest_due) / size[k] + 1e-9)
-                wanted = min(max(round(owed / size[k]), least), max(largest, least))
+                wanted = round(owed / size[k])
+                if least <= largest:  # else nothing hits the target, and the nearest is best
+                    wanted = min(max(wanted, least), largest)
                 copies[k] = min(max(wanted, 0), most_copies * int(n[k]))
                 owed -= float(copies[k] * size[k])
         return pa.table({"source_key": group.column("source_key"), "size": group.column("size"),
