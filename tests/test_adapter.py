@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trailseq.operators import numbering, profile, resolve
+from trailseq.operators import numbering, profile, resolve, selection
 from trailseq.sources import schemas
 
 
@@ -86,3 +87,25 @@ def test_histograms_of_nothing_and_of_one_value(spark):
     same = profile.vector_histograms(spark.createDataFrame([([2.0, 2.0],)] * 3, "vec array<double>"), 4)
     assert [r.n for r in same["channel"].orderBy("bin").collect()] == [0, 0, 6, 0]
     assert same["normalized"].count() == 0  # a range of zero width scales nothing
+
+
+@pytest.mark.parametrize("numbers", [
+    [-0.0, 0.0, 5e-324, -5e-324, 1e308, -1e308, 1.0, 1.0, 1.0, -2.5, float("inf"), float("-inf")],
+    [random.Random(k).lognormvariate(0, 9) * (-1) ** k for k in range(700)], [3.25], [7.0] * 50])
+def test_order_statistics_and_quantiles_are_exact(spark, numbers):
+    rows = spark.createDataFrame([(x,) for x in [*numbers, None]], "x double").repartition(3)
+    ranks = sorted({0, len(numbers) - 1, len(numbers) // 2, len(numbers) // 3})
+    assert selection.order_statistics(rows, "x", ranks) == [sorted(numbers)[k] for k in ranks]
+    if np.isfinite(numbers).all():
+        assert selection.quantiles(rows, "x", [0.25, 0.5, 0.75]) == pytest.approx(
+            np.quantile(numbers, [0.25, 0.5, 0.75]).tolist(), rel=1e-12, abs=1e-300)
+    assert selection.quantiles(rows.where("x is null"), "x", [0.5]) == [None]
+
+
+def test_auto_bins_of_a_continuous_column(spark):
+    rng = random.Random(2)
+    numbers = [rng.gauss(3, 2) for _ in range(2000)] + [40.0]
+    got = profile.histogram(spark.createDataFrame([(x,) for x in numbers], "x double"), "x", "auto").collect()
+    edges = np.histogram_bin_edges(np.array(numbers), "fd")  # the narrower rule here
+    assert len(got) == len(edges) - 1
+    assert [r.n for r in sorted(got)] == np.histogram(numbers, edges)[0].tolist()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from trailseq.functions import sequences as S
 from trailseq.functions.vectors import add_up, min_max_scale
+from trailseq.operators import selection
 from trailseq.session import written_table
 
 
@@ -233,14 +234,14 @@ def histogram(rows: DataFrame, value: str, bins: int | str = 10, n: str | None =
 
     The last bin includes the upper edge. ``n`` names a count column when the rows are counted already.
     Without given edges the range is a scalar subquery. ``bins="auto"`` takes the narrower of the Sturges
-    and the Freedman-Diaconis width (quartiles from an approximate percentile). Empty bins have n = 0; without
+    and the Freedman-Diaconis width, from exact quartiles. Empty bins have n = 0; without
     any value there are no bins.
     """
     rows, weight = _counted(rows, value, n)
     column = F.col(value).cast("double")
     stats = rows.agg(
         F.min(column).alias("low"), F.max(column).alias("high"), F.sum(weight).alias("total"),
-        *( [_quartiles(column, n).alias("q")] if bins == "auto" else [] ),
+        *([_quartiles(rows, value, column, n).alias("q")] if bins == "auto" else []),
     )
     if low is not None and high is not None:
         stats = stats.withColumn("low", F.lit(float(low))).withColumn("high", F.lit(float(high)))
@@ -272,10 +273,11 @@ def histogram(rows: DataFrame, value: str, bins: int | str = 10, n: str | None =
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-def _quartiles(column: Column, n: str | None) -> Column:
+def _quartiles(rows: DataFrame, value: str, column: Column, n: str | None) -> Column:
+    """Exact quartiles; of numbers that aren't counted by selection in a few scans, so these should be stored."""
     if n:
         return F.percentile(column, F.array(F.lit(0.25), F.lit(0.75)), F.col(n))
-    return F.percentile_approx(column, [0.25, 0.75], 10000)
+    return F.array(*(F.lit(q).cast("double") for q in selection.quantiles(rows, value, [0.25, 0.75])))
 
 
 def kernel_density(rows: DataFrame, value: str, grid_size: int = 200, n: str | None = None,

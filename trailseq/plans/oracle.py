@@ -212,6 +212,8 @@ ALL: dict[str, str] = {
         LEFT JOIN vecs USING (item_id)""", "steps", "vecs"),
     "prepare_sequences": _sql(f"""
         SELECT seq_id, n_real, pos, {_checksum('vec')} AS checksum FROM prep""", "prep"),
+    "trainable_roundtrip": _sql(f"""
+        SELECT pos, {_checksum('vec')} AS checksum, count(*) AS n FROM prep GROUP BY 1, 2""", "prep"),
     "padding_mask": _sql("""
         SELECT seq_id, string_agg(b, '' ORDER BY pos) AS mask,
                string_agg(b, '' ORDER BY pos) FILTER (WHERE pos BETWEEN 1 AND 16) AS source_mask
@@ -266,6 +268,16 @@ ALL: dict[str, str] = {
         FROM (SELECT lo, (hi - lo) / bins AS w, unnest(range(bins)) AS bin FROM b)
         LEFT JOIN (SELECT CAST(least(floor((x - lo) / ((hi - lo) / bins)), bins - 1) AS BIGINT) AS bin, count(*) AS n
                    FROM lengths CROSS JOIN b GROUP BY 1) USING (bin)""", "lengths"),
+    "sum_histogram_auto": _sql("""
+        , s AS (SELECT CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) AS DOUBLE) AS hi, CAST(count(*) AS DOUBLE) AS n,
+                       quantile_cont(CAST(x AS DOUBLE), 0.75) - quantile_cont(CAST(x AS DOUBLE), 0.25) AS iqr FROM sums),
+        b AS (SELECT lo, hi, CAST(ceil((hi - lo) / CASE WHEN iqr > 0
+                  THEN least(2 * iqr / pow(n, 1.0::DOUBLE / 3), (hi - lo) / (log2(n) + 1))
+                  ELSE (hi - lo) / (log2(n) + 1) END) AS BIGINT) AS bins FROM s)
+        SELECT bin, round(lo + bin * w, 6) AS bin_low, round(lo + (bin + 1) * w, 6) AS bin_high, coalesce(n, 0) AS n
+        FROM (SELECT lo, (hi - lo) / bins AS w, unnest(range(bins)) AS bin FROM b)
+        LEFT JOIN (SELECT CAST(least(floor((x - lo) / ((hi - lo) / bins)), bins - 1) AS BIGINT) AS bin, count(*) AS n
+                   FROM sums CROSS JOIN b GROUP BY 1) USING (bin)""", "sums"),
     "unique_length_histogram": _histogram(
         "(SELECT len(history) AS x FROM (SELECT DISTINCT history FROM collected))", 10, "collected"),
     "unpadded_histogram": _histogram("(SELECT count(*) AS x FROM realv GROUP BY seq_id)", 10, "realv"),

@@ -162,6 +162,14 @@ def prepare_sequences(spark: SparkSession, sf: str) -> DataFrame:
         "seq_id", "n_real", "pos", _checksum("vec").alias("checksum"))
 
 
+def trainable_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Prepared sequences published as JSON lines of one column and read back."""
+    path = scratch_path(spark, "trainable")
+    publish.publish(tables.prepared(spark, sf).select("value"), path, lambda w, p: w.json(p))
+    vectors = json_lines.read_values(spark, path, strict=True).select(F.posexplode("value").alias("pos", "vec"))
+    return vectors.groupBy("pos", _checksum("vec").alias("checksum")).agg(F.count("*").alias("n"))
+
+
 def padding_mask(spark: SparkSession, sf: str) -> DataFrame:
     def bits(mask: Column | str) -> Column:
         return F.array_join(F.transform(mask, lambda m: F.when(m, "1").otherwise("0")), "")
@@ -302,6 +310,12 @@ def sum_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return _bins(_vector_histogram(spark, sf, "sum", 20))
 
 
+def sum_histogram_auto(spark: SparkSession, sf: str) -> DataFrame:
+    """Automatic bins of a continuous column, from its exact quartiles."""
+    sums = written_table(profile.vector_sums(_real_vectors(spark, sf)), "sums")
+    return _bins(profile.histogram(sums, "channel_sum", "auto"))
+
+
 def length_kde(spark: SparkSession, sf: str) -> DataFrame:
     counts = profile.length_counts(tables.collected(spark, sf))
     return profile.kernel_density(counts, "length", n="n").select(
@@ -442,12 +456,12 @@ ALL: dict[str, Query] = {
         stream_collect, json_roundtrip, history_files, file_profile, latest_partition,
         feature_decode, distinct_items, lookup_left, lookup_table, resolve_histories,
         resolve_histories_padded,
-        prepare_sequences, padding_mask, sequence_long, shifted_windows, short_windows, shifted_long, hash_split,
+        prepare_sequences, trainable_roundtrip, padding_mask, sequence_long, shifted_windows, short_windows, shifted_long, hash_split,
         prefix_split, split_sizes, batch_numbers,
         history_length_stats, unique_history_ratio, unique_history_stats, unpadded_lengths, channel_range,
         vector_sums, normalized_sums, length_histogram, length_histogram_auto, unique_length_histogram,
         unpadded_histogram, channel_histogram,
-        normalized_histogram, sum_histogram, length_kde, channel_kde,
+        normalized_histogram, sum_histogram, sum_histogram_auto, length_kde, channel_kde,
         l2_normalize, hard_shrink, positional_features, first_channels,
         mean_prediction, score_sequences, score_encoder_decoder, short_sequence_loss, sequence_loss, sequence_loss_variants, nearest_item, exact_item,
         gen_alternating, gen_uninteresting, gen_embedding,
