@@ -4,6 +4,10 @@ import pytest
 
 import __spark_entry__ as spark_entry
 import check
+from pyspark.sql import functions as F
+
+from trailseq.operators import resolve
+from trailseq.session import written_table
 
 
 @pytest.fixture(scope="module")
@@ -25,13 +29,16 @@ def skewed(tmp_path_factory):
     "exact_item", "decode_accuracy", "sequence_loss", "history_length_stats",
 ])
 @pytest.mark.parametrize("broadcast", [True, False])
-def test_skewed_tables_match_sql(spark, skewed, name, broadcast):
+def test_skewed_tables_match_sql(spark, skewed, name, broadcast, monkeypatch):
     if not broadcast:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+        monkeypatch.setattr(resolve, "SENT_BYTES", 20 * 600)  # a few vectors
     try:
         status, n, _, _ = check.compare(spark, check.connect(skewed), name, skewed)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     assert status == "ok" and n > 0
 
 
@@ -51,3 +58,27 @@ def test_a_minute_with_a_third_of_all_events(spark, tmp_path):
     assert status == "ok" and n > 0
     ranks = driver_tables.numbered_events(spark, str(tmp_path)).where("user_id = 1")
     assert ranks.count() == ranks.select("rank").distinct().count() == ranks.agg({"rank": "max"}).first()[0] + 1
+
+
+def test_hot_items_stay_out_of_the_shuffle(spark, monkeypatch):
+    """A third of all rows ask for one item, some for an item without a vector, some for none."""
+    lookup = written_table(spark.range(200).where("id != 5").select(
+        F.col("id").alias("item_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vec")), "test-lookup")
+    items = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, 5).when(
+        F.col("id") % 100 == 2, None).otherwise(F.col("id") % 211).cast("bigint").alias("item_id"))
+    want = sorted(map(str, resolve.join_vectors(items, lookup).select("id", "item_id", "vec").collect()))
+    assert len(want) == 6000
+    monkeypatch.setattr(resolve, "SENT_BYTES", 10 * 32)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        joined = resolve.join_vectors(items, lookup)
+        assert sorted(map(str, joined.select("id", "item_id", "vec").collect())) == want
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    assert plan.count("LeftAnti") == 1 and "merge" in plan.lower()
+    hot = {r.item_id for r in items.groupBy("item_id").count().where("count * 10 > 6000 and item_id is not null").collect()}
+    assert 7 in hot and len(hot) <= 10

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trailseq.functions import sequences as S
 from trailseq.functions.vectors import DEFAULT_DIM, as_float
+from trailseq.operators.resolve import join_vectors
 
 
 def prepare_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM, length: int = S.INTERNAL_LENGTH,
@@ -54,13 +55,13 @@ def attach_vectors(prepared: DataFrame, lookup: DataFrame, dim: int = DEFAULT_DI
                    length: int = S.INTERNAL_LENGTH) -> DataFrame:
     """``seq_id``, ``value``, ``mask``, ``n_real``: the vectors of prepared ids, padded on the left.
 
-    At most ``length`` vectors a sequence are joined and collected, however long its history was.
+    ``lookup`` should be stored. At most ``length`` vectors a sequence are joined and collected, however long its history was.
     """
     n = int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     items = prepared.repartition(n, "seq_id").select(
         "seq_id", "mask", "n_real", F.posexplode("items").alias("pos", "item_id"))
     return (
-        items.join(lookup.select("item_id", "vec"), "item_id", "left")
+        join_vectors(items, lookup)
         .groupBy("seq_id").agg(
             F.sort_array(F.collect_list(F.struct("pos", "vec"))).alias("rows"),
             F.any_value("mask").alias("mask"), F.any_value("n_real").alias("n_real"))

@@ -2,9 +2,9 @@
 
 Ids are small and vectors are large, so everything that can be decided on ids (which items resolve, which
 sequences are equal) is decided before a vector is attached. Id lists are then spread by a content key; the
-exploded items carry only that key and their position, and go back together by the same key. With a lookup
-below Spark's broadcast limit the vectors are never shuffled; with a larger one they are shuffled once, and
-adaptive execution splits the partitions of hot items in that join.
+exploded items carry only that key and their position, and go back together by the same key. A lookup of bounded size
+is sent to the items, and vectors are never shuffled. Beyond that size the vectors of the most frequent items are sent,
+and only the others meet their items in a shuffle, where no item is hot any more.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from trailseq.session import written_table
 
 MIN_RESOLVED = 3
 FEATURE = "bert"
+#: Bytes of vectors that are sent to all executors at most, and to how many parts of all rows an item is hot at least.
+SENT_BYTES = 64 << 20
+HOT_PARTS = 20_000
 #: Item ids (of 8 bytes) up to which they are sent to all feature records.
 BROADCAST_ITEMS = 1_000_000
 #: Bits of the filter for more items; at most 8 MB of them.
@@ -159,15 +162,32 @@ def sequences_with_padding(histories: DataFrame, flags: DataFrame, min_items: in
     )
 
 
-def _attach(sequences: DataFrame, lookup: DataFrame, vec: Column) -> DataFrame:
-    """Vectors for distinct ``items`` lists; the one place where vectors move.
+def join_vectors(items: DataFrame, lookup: DataFrame) -> DataFrame:
+    """``items`` with ``vec`` of their item_id, NULL for items that ``lookup`` (stored, one row per item) doesn't have.
 
-    The join keeps its left side whole, so only the lookup can be chosen for broadcast: the size of the
-    exploded side is underestimated.
+    A lookup of at most SENT_BYTES is broadcast. Of a larger one only the vectors of hot items are: fewer items than
+    fit into SENT_BYTES (and than HOT_PARTS) have more than that fraction of all rows. The others are
+    joined by a shuffle, in which an item has few rows.
     """
+    lookup = lookup.select("item_id", "vec")
+    n, size = lookup.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(0))).first()
+    vector_bytes = 8 * max(size, 1) + 16
+    if n * vector_bytes <= SENT_BYTES:
+        return items.join(F.broadcast(lookup), "item_id", "left")
+    items = written_table(items, "items-to-join")
+    most = max(1, min(HOT_PARTS, SENT_BYTES // vector_bytes))
+    counts = items.groupBy("item_id").agg(F.count("*").alias("n")).where("item_id is not null")
+    hot = written_table(
+        counts.where(F.col("n") * most > items.count()).select("item_id").join(lookup, "item_id", "left"), "hot-items")
+    rare = items.join(F.broadcast(hot.select("item_id")), "item_id", "left_anti").join(
+        lookup.hint("shuffle_merge"), "item_id", "left")
+    return items.join(F.broadcast(hot), "item_id").unionByName(rare)
+
+
+def _attach(sequences: DataFrame, lookup: DataFrame, vec: Column) -> DataFrame:
+    """Vectors for distinct ``items`` lists; the one place where vectors move."""
     return (
-        _spread_items(sequences, "items")
-        .join(lookup.select("item_id", "vec"), "item_id", "left")
+        join_vectors(_spread_items(sequences, "items"), lookup)
         .select("key", "pos", "item_id", vec.alias("vec"))
         .groupBy("key").agg(_in_reading_order("item_id", "vec").alias("rows"))
         .select(F.col("key").alias("seq_id"), F.col("rows.item_id").alias("items"),
@@ -179,7 +199,7 @@ def resolve_histories(histories: DataFrame, lookup: DataFrame, min_items: int =
     """Distinct resolved sequences: ``seq_id``, ``items``, ``value`` (array of ``item_id``, ``vec``).
 
     Items without a vector are dropped; sequences left with fewer than ``min_items`` items are too.
-    ``lookup`` holds one row per item.
+    ``lookup`` holds one row per item and should be stored, as it is read more than once.
     """
     known = lookup.where(F.size("vec") > 0)
     return _attach(_kept_items(histories, known, "left_semi", min_items), known, F.col("vec"))

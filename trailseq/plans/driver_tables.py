@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from trailseq.functions.vectors import is_padding
 from trailseq.operators import collect, numbering, prepare, resolve
+from trailseq.session import written_table
 
 DIM = 64
 PIECE = 24
@@ -99,15 +100,17 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.resolve_histories(collected(spark, sf_dir), vectors(spark, sf_dir))
+    return resolve.resolve_histories(collected(spark, sf_dir), written_table(vectors(spark, sf_dir), "vectors"))
 
 
-def prepared_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepared_ids(spark: SparkSession, sf_dir: str, known: DataFrame | None = None) -> DataFrame:
     """``seq_id``, ``items`` (at most 18), ``mask``, ``n_real``; no vectors."""
-    flags = lookup(spark, sf_dir).select("item_id", is_padding("vec", DIM).alias("is_pad"))
+    known = lookup(spark, sf_dir) if known is None else known
+    flags = known.select("item_id", is_padding("vec", DIM).alias("is_pad"))
     return prepare.prepare_ids(resolve.sequences_with_padding(collected(spark, sf_dir), flags))
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``seq_id``, ``value`` (18 vectors), ``mask``, ``n_real``."""
-    return prepare.attach_vectors(prepared_ids(spark, sf_dir), lookup(spark, sf_dir), DIM)
+    known = written_table(lookup(spark, sf_dir), "lookup")
+    return prepare.attach_vectors(prepared_ids(spark, sf_dir, known), known, DIM)

@@ -151,7 +151,7 @@ def resolve_histories(spark: SparkSession, sf: str) -> DataFrame:
 
 def resolve_histories_padded(spark: SparkSession, sf: str) -> DataFrame:
     return _resolved_rows(resolve.resolve_histories_padded(
-        tables.collected(spark, sf), tables.vectors(spark, sf), DIM))
+        tables.collected(spark, sf), written_table(tables.vectors(spark, sf), "vectors"), DIM))
 
 
 # --- sequences -----------------------------------------------------------------------------------------
