@@ -33,6 +33,33 @@ def test_filter_agrees_with_sets(spark):
     assert rates[0].argmax() == 1 and rates[0, 1] > 0.9 and list(has_letter) == [True, False, False]
 
 
+def plain_grams(text):
+    """4-grams by the definition: lower case, runs of other characters as one space, two spaces before, one behind."""
+    flat = "".join(c if c.isalpha() else " " for c in f"  {text.lower()} ")
+    body = " ".join(flat.split())
+    whole = "  " + (body + " " if body else "")
+    return [whole[k:k + 4] for k in range(len(whole) - 3)]
+
+
+def test_rates_against_exact_sets(spark):
+    """Counts of the training texts in plain dictionaries, membership in plain sets."""
+    docs = sample(spark)
+    model = langid.train(docs, min_share=1e-2)
+    counts = {}
+    for row in docs.collect():
+        own = counts.setdefault(row.lang, {})
+        for gram in plain_grams(row.text):
+            own[gram] = own.get(gram, 0) + 1
+    members = {lang: {g for g, n in own.items() if n >= 1e-2 * sum(own.values())} for lang, own in counts.items()}
+    assert any(len(members[lang]) < len(counts[lang]) for lang in counts)  # the share leaves some out
+    texts = [r.text for r in docs.collect()[:60]] + ["Über die Brücke, dans la rue of that have", "x", "zzz qqq"]
+    rates, _ = model.rates(texts)
+    for text, got in zip(texts, rates):
+        grams = plain_grams(text)
+        for lang, rate in zip(model.languages, got):
+            assert abs(rate - sum(g in members[lang] for g in grams) / len(grams)) < 1e-3, (text, lang)
+
+
 def test_odd_rows(spark):
     model = langid.train(sample(spark).unionByName(odd.documents(spark)))
     rows = langid.predict(odd.documents(spark), model).collect()
