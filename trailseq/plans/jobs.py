@@ -92,22 +92,13 @@ def profile_sequences(sequences: DataFrame, dim: int = DEFAULT_DIM, bins: int =
     return tables
 
 
-def _windows(prepared: DataFrame, decoder_length: int, normalize: bool) -> DataFrame:
-    """Shifted windows; ``normalize`` brings the model's inputs (not the target) to unit length."""
-    windows = prepare.shifted_windows(prepared, decoder_length)
-    if normalize:
-        windows = windows.withColumns({
-            c: F.transform(c, lambda v: vectors.l2_normalize(v)) for c in ("encoder", "source")})
-    return windows
-
-
 def scored_windows(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None,
                    decoder_length: int = SEQ_LENGTH, inputs: tuple[str, ...] = ("source",),
                    normalize: bool = False) -> DataFrame:
     """``seq_id``, ``prediction``, ``target`` from the given model or, without one, from the running mean."""
     return evaluate.score_sequences(
-        _windows(prepared, decoder_length, normalize), predictor or evaluate.running_mean, length=decoder_length,
-        dim=dim, inputs=inputs).select("seq_id", "prediction", "target")
+        prepared, predictor or evaluate.running_mean, length=decoder_length, dim=dim, inputs=inputs,
+        normalize=normalize).select("seq_id", "prediction", "target")
 
 
 def loss_by_batch(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None, batch_size: int = 256,
@@ -119,8 +110,8 @@ def loss_by_batch(prepared: DataFrame, dim: int = DEFAULT_DIM, predictor=None, b
     Each sequence is reduced to a few error sums where it is; only those are numbered and grouped.
     """
     errors = evaluate.window_errors(
-        _windows(prepared, decoder_length, normalize), predictor or evaluate.running_mean, length=decoder_length,
-        dim=dim, inputs=inputs, kinds=kinds)
+        prepared, predictor or evaluate.running_mean, length=decoder_length, dim=dim, inputs=inputs, kinds=kinds,
+        normalize=normalize)
     sums = tuple(c for c in errors.columns if c != "seq_id")
     batches = numbering.batch_numbers(
         errors, "seq_id", batch_size=batch_size, drop_last_row=drop_last_row, carry=sums)

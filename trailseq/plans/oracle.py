@@ -366,4 +366,10 @@ ALL: dict[str, str] = {
         CASE WHEN {_FALLING}
              THEN (18 - pos) / CASE WHEN c % CASE WHEN v THEN 4 ELSE 3 END = 0 THEN 3::DOUBLE ELSE 18::DOUBLE END
              ELSE pos / CASE WHEN v THEN 1::DOUBLE ELSE 18::DOUBLE END END"""),
+    "gen_noise": """
+        SELECT pos, count(*) * 64 AS n, TRUE AS centred, TRUE AS unit_spread, TRUE AS repeats
+        FROM customer CROSS JOIN (SELECT CAST(unnest(range(18)) AS INTEGER) AS pos) p GROUP BY pos""",
+    "random_users": """
+        SELECT c_nationkey, count(*) AS n, count(*) AS users, 5 * count(*) AS n_values, 5 * count(*) AS values
+        FROM customer GROUP BY c_nationkey""",
 }

@@ -450,6 +450,38 @@ def gen_embedding(spark: SparkSession, sf: str) -> DataFrame:
     return _generated(generate.channel_dependent, spark, sf, noise=False)
 
 
+def gen_noise(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds of the noise at every position: how many values, and whether mean, spread and repeats are a normal one's.
+
+    Bounds are five standard errors of the mean and of the mean square; two draws with one seed agree.
+    """
+    keys = tables.table(spark, sf, "customer").select("c_custkey")
+
+    def drawn(seed: int, name: str) -> DataFrame:
+        noisy = generate.alternating(keys, "c_custkey", dim=DIM, noise=True, scaled=False, seed=seed)
+        level = F.when(F.col("pos") % 2 == 1, 18 - F.col("pos")).otherwise(F.col("pos"))
+        long = noisy.select("c_custkey", F.posexplode("value").alias("pos", "vec"))
+        return long.select("c_custkey", "pos", F.transform("vec", lambda x: x - level).alias(name))
+
+    pairs = drawn(1, "x").join(drawn(1, "again"), ["c_custkey", "pos"])
+    per_position = pairs.select("pos", F.explode(F.arrays_zip("x", "again")).alias("e")).groupBy("pos").agg(
+        F.count("e.x").alias("n"), F.avg("e.x").alias("mean"), F.avg(F.col("e.x") * F.col("e.x")).alias("square"),
+        F.bool_and(F.col("e.x") == F.col("e.again")).alias("repeats"))
+    return per_position.select(
+        "pos", "n", (F.abs("mean") * F.sqrt("n") < 5).alias("centred"),
+        (F.abs(F.col("square") - 1) * F.sqrt(F.col("n") / 2) < 5).alias("unit_spread"), "repeats")
+
+
+def random_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Users of five values per customer: how many there are in each nation, how many differ, and how many values do."""
+    users = tables.table(spark, sf, "customer").select("c_nationkey", V.random_user("c_custkey").alias("user"))
+    return users.groupBy("c_nationkey").agg(
+        F.count("*").alias("n"), F.count_distinct("user").alias("users"),
+        F.sum(F.size("user")).alias("n_values")).join(
+        users.select("c_nationkey", F.explode("user").alias("value")).groupBy("c_nationkey").agg(
+            F.count_distinct("value").alias("values")), "c_nationkey")
+
+
 ALL: dict[str, Query] = {
     f.__name__: f for f in (
         decode_accuracy, collect_histories, user_fingerprint, distinct_histories, last_history_per_user,
@@ -464,6 +496,6 @@ ALL: dict[str, Query] = {
         normalized_histogram, sum_histogram, sum_histogram_auto, length_kde, channel_kde,
         l2_normalize, hard_shrink, positional_features, first_channels,
         mean_prediction, score_sequences, score_encoder_decoder, short_sequence_loss, sequence_loss, sequence_loss_variants, nearest_item, exact_item,
-        gen_alternating, gen_uninteresting, gen_embedding,
+        gen_alternating, gen_uninteresting, gen_embedding, gen_noise, random_users,
     )
 }
