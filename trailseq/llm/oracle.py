@@ -141,6 +141,52 @@ SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0)
 FROM walked
 """
 
+EDITED = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars FROM documents),
+pairs AS (
+    SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next
+    FROM texts)
+SELECT doc_id, n_chars,
+       sha256(substring(text, 1, n_chars - n_chars // 4) || substring(next, 1, n_chars // 4)) AS edited_sha256
+FROM pairs
+"""
+
+# The fold is the CRC-32 of the id's digits; its table has 256 entries, made by 8 steps each.
+UNIGRAMS = r"""
+WITH RECURSIVE steps AS (
+    SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS c, 0 AS k FROM (SELECT unnest(range(256)) AS i)
+    UNION ALL
+    SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc_table AS (SELECT i, c AS entry FROM steps WHERE k = 8),
+digits AS (
+    SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, 1 AS place, CAST(4294967295 AS BIGINT) AS c
+    FROM (SELECT DISTINCT doc_id FROM documents)
+    UNION ALL
+    SELECT doc_id, s, place + 1, xor(c >> 8, entry)
+    FROM digits JOIN crc_table ON i = xor(c & 255, CAST(ascii(substring(s, place, 1)) AS BIGINT)) WHERE place <= length(s)),
+folds AS (SELECT doc_id, xor(c, 4294967295) % 10 = 0 AS held_out FROM digits WHERE place = length(s) + 1),
+texts AS (
+    SELECT doc_id, held_out, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents JOIN folds USING (doc_id)),
+occurrences AS (SELECT doc_id, held_out, unnest(words) AS word FROM texts),
+counts AS (SELECT word, count(*) AS c FROM occurrences WHERE NOT held_out GROUP BY word),
+ends AS (SELECT count(*) FILTER (NOT held_out) AS n_ends FROM texts),
+sizes AS (
+    SELECT n_ends, (SELECT coalesce(sum(c), 0) FROM counts) + n_ends AS n,
+           (SELECT count(*) FROM counts) + CASE WHEN n_ends > 0 THEN 1 ELSE 0 END AS v FROM ends),
+known AS (
+    SELECT doc_id, count(c) AS n_known, sum(log10(coalesce(c, 0) + 0.1::DOUBLE)) AS log_sum
+    FROM occurrences LEFT JOIN counts USING (word) GROUP BY doc_id)
+SELECT doc_id, held_out, CAST(len(words) + 1 AS BIGINT) AS n_tokens,
+       CAST(coalesce(n_known, 0) + CASE WHEN n_ends > 0 THEN 1 ELSE 0 END AS BIGINT) AS n_known,
+       CAST(n AS BIGINT) AS train_tokens,
+       round(coalesce(log_sum, 0) + log10(n_ends + 0.1::DOUBLE) - (len(words) + 1) * log10(n + 0.1::DOUBLE * (v + 1)), 4)
+           AS base_score
+FROM texts CROSS JOIN sizes LEFT JOIN known USING (doc_id)
+"""
+
 ALL: dict[str, str] = {
     "op2_deletion_neighbourhood": LINES,
     "op4_content_addressed_warc": WARC,
@@ -148,4 +194,6 @@ ALL: dict[str, str] = {
     "op10_bbit_minhash": NEAR,
     "op12_slot_negatives": NEGATIVES,
     "op13_potential_audit": AUDIT,
+    "edited_text_digests": EDITED,
+    "unigram_scores": UNIGRAMS,
 }

@@ -95,6 +95,17 @@ def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")))
 
 
+def edited_text_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op7's rows: lengths, and digests of the edited texts."""
+    return document_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def unigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op8's rows: folds, counts and the base score."""
+    return text_likelihood(spark, sf_dir).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
 ALL = {
     "op1_bootstrapped_pii": personal_data,
     "op2_deletion_neighbourhood": lines_deduplicated,
@@ -109,4 +120,6 @@ ALL = {
     "op11_entropy_balancing": source_mixture,
     "op12_slot_negatives": hard_negative_mining,
     "op13_potential_audit": filter_interactions,
+    "edited_text_digests": edited_text_digests,
+    "unigram_scores": unigram_scores,
 }
