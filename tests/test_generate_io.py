@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as spark_entry
 from trailseq.operators import generate, prepare, resolve
-from trailseq.plans import jobs
+from trailseq.plans import jobs, queries
 from trailseq.session import scratch_path, scratch_root, written_table
 from trailseq.sources import json_lines, partitions, schemas
 
@@ -52,6 +53,22 @@ def test_noise_is_standard_normal_repeatable_and_differs_per_draw(spark):
     assert not np.array_equal(noisy, values(generate.channel_dependent(keys, dim=DIM, seed=4)))
 
 
+def test_noise_of_whole_arrays_is_that_of_the_hashes(spark):
+    keys = generate.sequence_keys(spark, 30).withColumn("seq_no", F.when(F.col("seq_no") != 4, F.col("seq_no") - 9))
+    draws = lambda p: F.transform(
+        F.sequence(F.lit(1), F.lit(DIM)), lambda c: generate.gaussian(F.col("seq_no"), p, c, seed=5))
+    single = keys.select("seq_no", F.transform(F.sequence(F.lit(0), F.lit(17)), draws).alias("value"))
+    noisy, clean = (generate.uninteresting(keys, dim=DIM, noise=n, scaled=False, seed=5) for n in (True, False))
+    want = np.where((np.arange(18) % 2 == 1)[:, None], 0.0, values(single))
+    assert np.allclose(values(noisy) - values(clean), want, rtol=0, atol=1e-13)
+
+
+def test_draws_of_noise_are_not_sent_to_all(spark):
+    """Their plans look small at any size, so that the query ended in the driver's memory."""
+    plan = queries.gen_noise(spark, spark_entry.ENTRY_TABLES)._jdf.queryExecution().toString()
+    assert "SortMergeJoin [c_custkey" in plan and "BroadcastHashJoin [c_custkey" not in plan
+
+
 def test_first_position_of_the_alternating_train_set_is_padding(spark):
     made = generate.alternating(generate.sequence_keys(spark, 1), dim=DIM).withColumnRenamed("seq_no", "seq_id")
     row = prepare.prepare_sequences(made, DIM).first()
