@@ -3,6 +3,7 @@ import hashlib
 
 import numpy as np
 import odd
+import pyarrow as pa
 from trailseq.llm import doc_fingerprint as fp
 
 
@@ -66,3 +67,16 @@ def test_odd_rows(spark):
     assert {r.fingerprint for r in rows if r.doc_id in (8, 9)} == {fp.stored(*fp.paragraphs([odd.SAME]), 1)[0]}
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(r[0]) for r in odd.ROWS)
     assert fp.fingerprints(odd.empty(spark)).count() == 0
+
+
+def test_tasks_compare_little_at_once(monkeypatch):
+    """Arrays of a comparison take many times its texts, and a worker that keeps them fills its executor."""
+    texts, seen, released, compare = [t * 30 for t in odd.random_texts(400, seed=8, words=60)], [], [], fp.compare
+    monkeypatch.setattr(fp, "compare", lambda i, t, f: seen.append(sum(map(len, t))) or compare(i, t, f))
+    monkeypatch.setattr(fp.common, "release_memory", lambda: released.append(1))
+    rows = pa.RecordBatch.from_pydict({"part": [0] * len(texts), "doc_id": list(range(len(texts))), "text": texts})
+    got = pa.Table.from_batches(fp._within([rows]))
+    assert sum(map(len, texts)) > 2_000_000 and got.column("doc_id").to_pylist() == list(range(len(texts) - 1))
+    assert max(seen) <= 500_000 + max(map(len, texts)) and released == [1]
+    one = fp.compare(list(range(len(texts) - 1)), texts[:-1], texts[1:])
+    assert got.to_pylist() == one.to_pylist()

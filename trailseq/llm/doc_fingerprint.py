@@ -183,7 +183,7 @@ def compare(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All rows of sorted ranges but the last of each, each with the row that follows."""
     held: tuple = ([], [], [])
-    for batch in common.chunks(batches):
+    for batch in common.chunks(batches, limit=COMPARED_CHARS):
         got = (common.column(batch, "part"), common.column(batch, "doc_id"), common.column(batch, "text"))
         parts, ids, texts = (h + g for h, g in zip(held, got))
         texts = [t or "" for t in texts]
@@ -192,14 +192,18 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if end - start > 1:
                 yield compare(ids[start:end - 1], texts[start:end - 1], texts[start + 1:end])
         held = (parts[-1:], ids[-1:], texts[-1:])
+    common.release_memory()
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.chunks(batches):
+    for batch in common.chunks(batches, limit=COMPARED_CHARS):
         texts = [[t or "" for t in common.column(batch, c)] for c in ("text", "next_text")]
         yield compare(common.column(batch, "doc_id"), *texts)
+    common.release_memory()
 
 
+#: Characters of texts that are compared at once; their arrays take about a hundred times as many bytes.
+COMPARED_CHARS = 500_000
 #: Ranges of ids for each shuffle partition.
 RANGES = 4
 _NULL_ID = -(1 << 63)
