@@ -71,7 +71,8 @@ def test_odd_rows(spark):
 
 def test_tasks_compare_little_at_once(monkeypatch):
     """Arrays of a comparison take many times its texts, and a worker that keeps them fills its executor."""
-    texts, seen, released, compare = [t * 30 for t in odd.random_texts(400, seed=8, words=60)], [], [], fp.compare
+    texts = [(t + "\n") * 60 for t in odd.random_texts(400, seed=8, words=60)]
+    seen, released, compare = [], [], fp.compare
     monkeypatch.setattr(fp, "compare", lambda i, t, f: seen.append(sum(map(len, t))) or compare(i, t, f))
     monkeypatch.setattr(fp.common, "release_memory", lambda: released.append(1))
     rows = pa.RecordBatch.from_pydict({"part": [0] * len(texts), "doc_id": list(range(len(texts))), "text": texts})

@@ -78,3 +78,16 @@ def test_odd_rows(spark):
     assert sum(r.start == 0 for r in rows) == len(odd.ROWS)
     assert {(r.length, r.doc_tokens) for r in rows if r.doc_id in (1, 2, 3)} == {(1, 1)}
     assert packing.pack(odd.empty(spark), queries.tokenizer_path()).count() == 0
+
+
+def test_latin_words_go_to_the_model_as_bytes(tokenizer):
+    """Letters, in any case and with closing punctuation, never reach the whole tokenizer; other words do."""
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    whole, slow = encoder.tokenizer, []
+    encoder.tokenizer = type("Counted", (), {
+        "encode_batch_fast": lambda self, t, **k: slow.extend(t) or whole.encode_batch_fast(t, **k)})()
+    text = "Schöpfung! SCHÖPFUNG ñandú, Über plain PLAIN?! ΟΔΟΣ İx éa x1 ﬁn"
+    assert list(encoder.ids([text])[0]) == tokenizer.encode(text, add_special_tokens=False).ids + [1]
+    assert set(slow) == {"!", ",", "?!", "ΟΔΟΣ", "İx", "éa", "x1", "ﬁn"}
+    assert {"schöpfung".encode(), b"plain", "ñandú".encode()} <= set(encoder.parts)

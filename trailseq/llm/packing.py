@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from unicodedata import is_normalized
 
@@ -54,7 +55,8 @@ class Encoder:
         self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+        self.packed = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text without special tokens, then the end id."""
@@ -68,49 +70,64 @@ class Encoder:
     def _learn(self, words: set[bytes]) -> None:
         if len(self.parts) > REMEMBERED_WORDS:
             self.parts.clear()
-        older, known, unknown = self.older.get, self.parts, set()
-        split = {}
+        older, known, unknown, split = self.older.get, self.parts, set(), []
         for word in words:
             if (ids := older(word)) is not None:
                 self.known[word] = ids
-            else:
-                parts = split[word] = _parts(word.decode("utf-8"))
-                unknown.update(p for p in parts if p not in known)
-        other = []
+                continue
+            letters = word.rstrip(_CLOSING)
+            part, rest = (letters.lower() if letters.isalpha() else _lowered(letters)), b""
+            if part is None:
+                part = word
+            elif len(letters) < len(word):
+                rest = word[len(letters):]
+                if rest not in known:
+                    unknown.add(rest)
+            if part not in known:
+                unknown.add(part)
+            split.append((word, part, rest))
+        other, tokenize, packed = [], self.model.tokenize, self.packed
         for part in unknown:
-            if part.isalpha() and ord(max(part)) < _LATIN_END and part == part.lower() and is_normalized("NFC", part):
-                known[part] = array("I", [t.id for t in self.model.tokenize(_byte_letters(part))]).tobytes()
+            if (spelled := part.decode() if part.isalpha() else _byte_letters(part)) is not None:
+                known[part] = b"".join([packed[t.id] for t in tokenize(spelled)])
             else:
                 other.append(part)
-        for part, one in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+        texts = [part.decode("utf-8") for part in other]
+        for part, one in zip(other, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             known[part] = array("I", one.ids).tobytes()
-        for word, parts in split.items():
-            self.known[word] = b"".join([known[p] for p in parts])
+        for word, part, rest in split:
+            self.known[word] = known[part] + known[rest] if rest else known[part]
 
 
 _END = np.array([END_ID], dtype="<u4").tobytes()
 #: Punctuation that the tokenizer never joins with the letters before it.
-_CLOSING = ".,;:!?)]}*%$#&-"
+_CLOSING = b".,;:!?)]}*%$#&-"
 #: Letters whose lower case depends on their place or has more than one character.
 _SPECIAL = frozenset("\u03a3\u0130")
 #: Letters before this code point are lower-cased alike everywhere.
 _LATIN_END = 0x250
 #: The model's letters for bytes: printable ones stand for themselves, the others are moved behind the first 256.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_LETTERS = {b: 0x100 + k for k, b in enumerate(b for b in range(0x100) if b not in set(_PRINTABLE))}
-
-
-def _byte_letters(part: str) -> str:
-    """The bytes of ``part`` as the model spells them."""
-    return part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(_LETTERS)
-
-
-def _parts(word: str) -> tuple[str, ...]:
-    letters = word.rstrip(_CLOSING)
-    if letters.isalpha() and _SPECIAL.isdisjoint(letters):
-        lower = letters.lower()
-        return (lower,) if len(letters) == len(word) else (lower, word[len(letters):])
-    return (word,)
+_MOVED = [b for b in range(0x100) if b not in set(_PRINTABLE)]
+_LETTERS = "".join(chr(0x100 + _MOVED.index(b) if b in _MOVED else b) for b in range(0x100))
+
+
+def _byte_letters(part: bytes) -> str | None:
+    """Lower-case Latin letters, not all of them ASCII, as the model spells their bytes; None for anything else."""
+    if part.isascii():
+        return None
+    text = part.decode("utf-8")
+    if text.isalpha() and ord(max(text)) < _LATIN_END and text == text.lower() and is_normalized("NFC", text):
+        return charmap_decode(part, "strict", _LETTERS)[0]
+    return None
+
+
+def _lowered(letters: bytes) -> bytes | None:
+    """The lower case of letters that aren't all ASCII; None for anything else."""
+    if letters.isascii():
+        return None
+    text = letters.decode("utf-8")
+    return text.lower().encode("utf-8") if text.isalpha() and _SPECIAL.isdisjoint(text) else None
 
 
 _ENCODERS: dict[str, Encoder] = {}
