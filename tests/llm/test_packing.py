@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import odd
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 from trailseq.llm import packing, queries
@@ -91,3 +92,40 @@ def test_latin_words_go_to_the_model_as_bytes(tokenizer):
     assert list(encoder.ids([text])[0]) == tokenizer.encode(text, add_special_tokens=False).ids + [1]
     assert set(slow) == {"!", ",", "?!", "ΟΔΟΣ", "İx", "éa", "x1", "ﬁn"}
     assert {"schöpfung".encode(), b"plain", "ñandú".encode()} <= set(encoder.parts)
+
+
+class Counted(dict):
+    lookups = 0
+
+    def __getitem__(self, key):
+        self.lookups += 1
+        return super().__getitem__(key)
+
+
+def test_python_sees_each_distinct_word_of_a_chunk_once(tokenizer):
+    """Texts come as an Arrow column; repeats of a word, and its other spellings, cost no work in Python or memory."""
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    encoder.parts = Counted()
+    texts = ["Plain plain, x1 " * 5000, None, "", " plain\tPLAIN. ", "\n"]
+    found = encoder.ids(pa.array(texts))
+    assert encoder.parts.lookups <= 2 * 6
+    assert set(encoder.parts) == {b"", b"plain", b",", b".", b"x1"}
+    for text, ids in zip(texts, found, strict=True):
+        assert list(ids) == tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+    assert encoder.ids(pa.array([], pa.string())) == []
+
+
+def test_every_latin_letter_in_every_place(tokenizer):
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    letters = [chr(c) for c in range(0x21, 0x250) if not chr(c).isspace()]
+    texts = [f"{c} a{c} {c}a {c}. a{c}A), {c}\u0301 {c}\u030c" for c in letters]
+    for text, ids in zip(texts, encoder.ids(pa.array(texts)), strict=True):
+        assert list(ids) == tokenizer.encode(text, add_special_tokens=False).ids + [1], text
+
+
+def test_open_windows_hold_their_own_ids_only():
+    packer, chunk = packing.Packer(0, 100, 3, 10), np.arange(10_000, dtype="<u4")
+    packer.place(1, chunk[:130])
+    assert [p[6].base is None and len(p[6]) == p[2] for w in packer.open for p in w.pieces] == [True]
