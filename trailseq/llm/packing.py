@@ -34,9 +34,7 @@ MIN_CUT = 16
 MERGED_PARTITIONS = 64
 END_ID = 1
 #: Parts of words of a generation, whose ids a worker remembers; more begin a new generation.
-REMEMBERED_WORDS = 300_000
-#: Texts are encoded so many characters at a time; larger pieces look fewer words up again.
-CHUNK_CHARACTERS = 4_000_000
+REMEMBERED_WORDS = 150_000
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint")
@@ -231,7 +229,7 @@ def _packing_task(definition, length: int, open_windows: int, min_cut: int, with
                 columns["ids"] = pa.array([p[6].astype(np.int32) for _, p in flat], pa.list_(pa.int32()))
             return pa.RecordBatch.from_pydict(columns)
 
-        for batch in common.chunks(batches, limit=CHUNK_CHARACTERS):
+        for batch in common.chunks(batches):
             done = []
             texts = batch.column(batch.schema.get_field_index("text"))
             for doc_id, ids in zip(common.column(batch, "doc_id"), own.ids(texts)):
