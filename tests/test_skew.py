@@ -82,3 +82,20 @@ def test_hot_items_stay_out_of_the_shuffle(spark, monkeypatch):
     assert plan.count("LeftAnti") == 1 and "merge" in plan.lower()
     hot = {r.item_id for r in items.groupBy("item_id").count().where("count * 10 > 6000 and item_id is not null").collect()}
     assert 7 in hot and len(hot) <= 10
+
+
+def test_vectors_of_occurring_items_are_sent_and_not_shuffled(spark, monkeypatch):
+    """The lookup is too large to be sent, what occurs of it isn't: rows go back together where they are."""
+    lookup = written_table(spark.range(500).select(
+        F.col("id").alias("item_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vec")), "test-lookup")
+    items = spark.range(600).select((F.col("id") / 6).cast("int").alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 11).when(
+        F.col("id") % 2 == 0, 1000).alias("item_id"))
+    monkeypatch.setattr(resolve, "SENT_BYTES", 20 * 32)
+    joined = resolve.join_vectors(items, lookup, "k")
+    got = joined.groupBy("k").agg(F.collect_list(F.struct("item_id", "vec")).alias("rows"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    rows = [(r.item_id, r.vec) for row in got.collect() for r in row.rows]
+    assert len(rows) == 600
+    assert all(vec == ([float(item), 1.0] if item is not None and item < 500 else None) for item, vec in rows)
